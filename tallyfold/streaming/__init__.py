@@ -1,0 +1 @@
+"""tallyfold.streaming"""

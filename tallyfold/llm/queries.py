@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, sharding, url_filter
+from . import decontaminate, packing, sharding, url_filter, warc
 
 QUERIES = {
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filter.op7_url_filters,
     "op8_sharding": sharding.op8_sharding,
+    "op10_warc": warc.op10_warc,
 }
 
 SQL = {
+    "op4_decontamination": decontaminate.OP4_SQL,
+    "op10_warc": warc.OP10_SQL,
     "op7_url_filters": url_filter.OP7_SQL,
 }

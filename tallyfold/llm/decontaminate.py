@@ -285,3 +285,23 @@ def brute_force(text: str | None, items: list[tuple[str, str | None]], window: i
 
 def sha256_of(items: list[str]) -> str:
     return hashlib.sha256(",".join(items).encode()).hexdigest()
+
+
+OP4_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM bw) WHERE len(w) >= m)
+), h AS (SELECT doc_id, item_id, i, dw.m FROM dw JOIN bw ON dw.m = bw.m AND dw.g = bw.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM h) GROUP BY doc_id),
+its AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id)), ',') AS s FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +39,20 @@ def sharing(df: DataFrame, per_task: int, rows: int) -> int:
 def words_lower(column):
     """A-Z lower-cased only, whatever the locale; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+class Shared:
+    """A broadcast value whose classes travel by value, too. Its size must be bounded by whoever makes it."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._value = None
+
+    def __getstate__(self):
+        return {"_sent": self._sent, "_value": None}
+
+    @property
+    def value(self):
+        if self._value is None:
+            self._value = pickle.loads(self._sent.value)
+        return self._value

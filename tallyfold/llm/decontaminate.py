@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import Shared
+
 WINDOW = 10
 K = 5
 #: Bytes of benchmark text in one broadcast block.
@@ -212,12 +214,11 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: s
     schema = T.StructType([docs.schema[c] for c in keep] + ADDED)
     with_text = T.StructType([*schema.fields, T.StructField("__text", T.StringType())])
     blocks = _blocks(benchmark, item, item_text, window, k, block_bytes)
-    sc = docs.sparkSession.sparkContext
     index, first = next(blocks), True
     while index is not None:
         following = next(blocks, None)
         last = following is None
-        own = own.mapInArrow(_matcher(sc.broadcast(index), keep, first, last), schema if last else with_text)
+        own = own.mapInArrow(_matcher(Shared(docs.sparkSession, index), keep, first, last), schema if last else with_text)
         index, first = following, False
     return own
 

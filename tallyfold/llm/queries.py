@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, sharding, url_filter, warc
+from . import decontaminate, packing, quality, sharding, url_filter, warc
 
 QUERIES = {
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filter.op7_url_filters,

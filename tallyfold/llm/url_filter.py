@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import Shared
+
 #: The trie is broadcast only up to so many rules (about 1 kB each at most); beyond, rules are joined.
 MAX_TRIE_RULES = 200_000
 MAX_RULE_CHARS = 4_096
@@ -127,7 +129,7 @@ def judge(df: DataFrame, rules: Iterable[Rule] | DataFrame, url: str = "url", ou
     rules = _check(rules)
     if len(rules) > max_trie_rules:
         return judge_by_join(df, rules_frame(df.sparkSession, rules), url, out, default)
-    trie = df.sparkSession.sparkContext.broadcast(Trie(rules))
+    trie = Shared(df.sparkSession, Trie(rules))
 
     @F.pandas_udf(JUDGEMENT)
     def apply(urls: pd.Series) -> pd.DataFrame:

@@ -1,7 +1,8 @@
 """Quality classifier: attention-based multiple-instance learning.
 
 A document is a bag of passages of 64 words (white-space separated); the bag has a label, the passages have none. A
-passage is encoded as h = tanh(E x) from the square roots of its byte and hashed byte-pair shares; gated attention
+passage is encoded as h = tanh(E x) from the square roots of its shares of bytes, of hashed byte pairs and of words that
+repeat the word before, and from its number of words; gated attention
 weighs the passages, a_k proportional to exp(w (tanh(V h_k) * sigmoid(U h_k))); the score is sigmoid(c z + b) of the
 weighted passage representation z = sum a_k h_k. All of E, V, U, w, c and b are learned together from document labels
 alone, by Adam, on a bounded sample of labelled documents.
@@ -31,7 +32,8 @@ from .decontaminate import chunks
 
 PASSAGE_WORDS = 64
 PAIRS = 512
-INPUTS = 256 + PAIRS
+#: Bytes, hashed byte pairs, words equal to the word before, words.
+INPUTS = 256 + PAIRS + 2
 HIDDEN, GATE = 32, 16
 PER_CLASS = 1_500
 FIT_PASSAGES = 24
@@ -42,11 +44,13 @@ THRESHOLD = 0.3
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER = np.random.default_rng(3).integers(1, 2**40, 256)
+_LETTER[_SPACE] = 0
 _PAIR = ((np.arange(65536, dtype=np.uint32) * np.uint32(2654435761)) >> np.uint32(23)).astype(np.int64)
 
 
 def passages(texts: list[bytes], words: int = PASSAGE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(counts per passage, passages per text). A row counts bytes, then hashed pairs of neighbouring bytes."""
+    """(counts per passage, passages per text); the columns are those of INPUTS."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     ends = np.cumsum(sizes)
@@ -67,16 +71,25 @@ def passages(texts: list[bytes], words: int = PASSAGE_WORDS) -> tuple[np.ndarray
     counts = np.empty((total, INPUTS), np.float32)
     counts[:, :256] = np.bincount(passage * 256 + data, minlength=total * 256).reshape(total, 256)
     at = np.flatnonzero(within[:-1])
-    counts[:, 256:] = np.bincount(passage[at] * PAIRS + pair[at], minlength=total * PAIRS).reshape(total, PAIRS)
+    counts[:, 256 : 256 + PAIRS] = np.bincount(passage[at] * PAIRS + pair[at], minlength=total * PAIRS).reshape(total, PAIRS)
+    at = np.flatnonzero(starts)
+    spelt = np.add.reduceat(_LETTER[data], at) if len(at) else np.zeros(0, np.int64)
+    text = np.searchsorted(ends, at, side="right")
+    again = np.flatnonzero((spelt[1:] == spelt[:-1]) & (text[1:] == text[:-1])) + 1
+    counts[:, -2] = np.bincount(passage[at[again]], minlength=total)
+    counts[:, -1] = np.bincount(passage[at], minlength=total)
     return counts, per_text
 
 
 def inputs(counts: np.ndarray) -> np.ndarray:
-    """Square roots of the shares, scaled."""
+    """Square roots of the shares, scaled, and the logarithm of the number of words."""
     x = counts.copy()
-    for part in (x[:, :256], x[:, 256:]):
+    for part in (x[:, :256], x[:, 256 : 256 + PAIRS]):
         part /= np.maximum(part.sum(1, keepdims=True), 1)
-    return np.sqrt(x) * 4
+    x[:, -2] /= np.maximum(x[:, -1], 1)
+    x[:, :-1] = np.sqrt(x[:, :-1]) * 4
+    x[:, -1] = np.log1p(x[:, -1]) / 2
+    return x
 
 
 @dataclass

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality, sharding, url_filter, warc
+from . import decontaminate, packing, pii, quality, sharding, url_filter, warc
 
 QUERIES = {
     "op3_quality_classifier": quality.op3_quality_classifier,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_url_filters": url_filter.op7_url_filters,
     "op8_sharding": sharding.op8_sharding,
+    "op9_pii": pii.op9_pii,
     "op10_warc": warc.op10_warc,
 }
 

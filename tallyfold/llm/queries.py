@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, pii, quality, sharding, url_filter, warc
+from . import decontaminate, fingerprints, packing, pii, quality, sharding, url_filter, warc
 
 QUERIES = {
+    "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op6_packing": packing.op6_packing,

@@ -39,8 +39,8 @@ DICT_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
 DICT_BYTES = 65_536
 SAMPLE_BYTES = 2_000_000
-#: Payload bytes per archive, about.
-ARCHIVE_BYTES = 64_000_000
+#: So many digests (about 60 bytes each) may be broadcast; more are joined.
+BROADCAST_DIGESTS = 200_000
 #: Copies of the table of responses, so that the revisits of one hot payload meet it in many tasks.
 SALTS = 16
 DATE = "2024-01-01T00:00:00Z"
@@ -191,22 +191,23 @@ def _writer(folder: str):
     return run
 
 
-def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
-    """Archives of all pages below `folder`; returns (path, records), already written."""
+def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
+    """Archives of all pages below `folder`, one for each task; returns (path, records), already written.
+
+    Payloads are not shuffled while the digests that occur more than once can be broadcast.
+    """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     own = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     marked = own.select("key", F.unhex(F.sha1("payload")).alias("sha"), F.octet_length("payload").alias("n"))
-    first = cut(marked.where(F.col("n") >= least).groupBy("sha").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("copies > 1"))
-    total = own.agg(F.coalesce(F.sum(F.octet_length("payload")), F.lit(0))).first()[0]
-    files = max(own.sparkSession.sparkContext.defaultParallelism, -(-total // archive_bytes))
-    salted = first.select("sha", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    joined = (
-        own.withColumns({"sha": F.unhex(F.sha1("payload")), "salt": F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")})
-        .join(salted, ["sha", "salt"], "left")
-        .select("key", "url", "payload", "sha", F.when((F.col("first") != F.col("key")) & (F.octet_length("payload") >= least), F.col("first")).alias("refers_to"))
-    )
-    dealt = joined.repartition(files, F.xxhash64("key")).sortWithinPartitions("key", "sha")
-    return cut(dealt.mapInArrow(_writer(folder), "path string, records long"))
+    first = cut(marked.where(F.col("n") >= least).groupBy("sha").agg(F.min("key").alias("first"), F.count("*").alias("copies")).where("copies > 1").select("sha", "first"))
+    hashed = own.withColumn("sha", F.unhex(F.sha1("payload")))
+    if first.count() <= BROADCAST_DIGESTS:
+        joined = hashed.join(F.broadcast(first), "sha", "left")
+    else:
+        salted = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = hashed.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int")).join(salted, ["sha", "salt"], "left")
+    refers_to = F.when((F.col("first") != F.col("key")) & (F.octet_length("payload") >= least), F.col("first"))
+    return cut(joined.select("key", "url", "payload", "sha", refers_to.alias("refers_to")).mapInArrow(_writer(folder), "path string, records long"))
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 
@@ -21,9 +22,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written to the shared folder and read again: lineage ends there, and lost executors cost nothing."""
+    """`df` written to the shared folder and read again: lineage ends there, and lost executors cost nothing.
+
+    What led to it is let go, so that the shuffle files of finished steps don't pile up on the executors' disks.
+    """
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
 
 
 def scratch(spark: SparkSession, kind: str) -> str:

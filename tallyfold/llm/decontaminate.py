@@ -49,12 +49,16 @@ _NONE = np.uint64(2**64 - 1)
 
 
 class Words:
-    """The words of several texts: bytes, bounds, hashes and the text each belongs to."""
+    """The words of several texts: bytes, bounds, hashes and the text each belongs to.
 
-    def __init__(self, texts: list[bytes]):
-        joined = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
+    `is_word` says which bytes make words; `gap`, which is not one of them, is put between texts.
+    """
+
+    def __init__(self, texts: list[bytes], is_word: np.ndarray = _IS_WORD, gap: bytes = b"\0"):
+        joined = np.frombuffer(gap.join(texts) + gap, dtype=np.uint8)
         self.bytes = _LOWER[joined]
-        edge = np.flatnonzero(np.diff(_IS_WORD[self.bytes].view(np.int8), prepend=np.int8(0)))
+        self.within = is_word[self.bytes]
+        edge = np.flatnonzero(np.diff(self.within.view(np.int8), prepend=np.int8(0)))
         self.start, self.end = edge[0::2], edge[1::2]
         ends = np.cumsum([len(t) + 1 for t in texts]) if texts else np.zeros(0, np.int64)
         self.text = np.searchsorted(ends, self.start, side="right")
@@ -71,7 +75,7 @@ class Words:
         power = np.multiply.accumulate(power)
         at = np.cumsum(size) - size
         offset = np.arange(int(size.sum())) - np.repeat(at, size)
-        value = _TABLE[self.bytes[_IS_WORD[self.bytes]]] * power[offset]
+        value = _TABLE[self.bytes[self.within]] * power[offset]
         out = np.add.reduceat(value, at)
         return (out ^ (out >> np.uint64(29))) * _MIX
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, packing, pii, quality, sharding, url_filter, warc
+from . import decontaminate, fingerprints, ngram_join, packing, pii, quality, sharding, url_filter, warc
 
 QUERIES = {
+    "op5_ngram_jaccard_join": ngram_join.op5_ngram_jaccard_join,
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_quality_classifier": quality.op3_quality_classifier,
     "op4_decontamination": decontaminate.op4_decontamination,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_ngram_jaccard_join": ngram_join.OP5_SQL,
     "op4_decontamination": decontaminate.OP4_SQL,
     "op10_warc": warc.OP10_SQL,
     "op7_url_filters": url_filter.OP7_SQL,

@@ -63,3 +63,13 @@ class Shared:
         if self._value is None:
             self._value = pickle.loads(self._sent.value)
         return self._value
+
+
+def table(df: DataFrame, kind: str) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read again, for wide results; otherwise like cut()."""
+    spark = df.sparkSession
+    path = scratch(spark, kind)
+    df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fingerprints, ngram_join, packing, pii, quality, sharding, url_filter, warc
+from . import decontaminate, fingerprints, line_dedup, ngram_join, packing, pii, quality, sharding, url_filter, warc
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op5_ngram_jaccard_join": ngram_join.op5_ngram_jaccard_join,
     "op2_fingerprints": fingerprints.op2_fingerprints,
     "op3_quality_classifier": quality.op3_quality_classifier,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
     "op5_ngram_jaccard_join": ngram_join.OP5_SQL,
     "op4_decontamination": decontaminate.OP4_SQL,
     "op10_warc": warc.OP10_SQL,

@@ -1 +1 @@
-"""tallyfold.plans"""
+"""Queries over the invoice model and their SQL."""

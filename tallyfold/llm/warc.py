@@ -141,17 +141,18 @@ def read_archive(source: BinaryIO) -> Iterator[bytes]:
     kind = zstandard.DICT_TYPE_FULLDICT if raw[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
     decompressor = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw, dict_type=kind))
     data, frame = b"", decompressor.decompressobj()
-    found = []
+    found, fed = [], False
     while True:
         if not data and not (data := source.read(1 << 20)):
             break
         found.append(frame.decompress(data))
+        fed = True
         if frame.eof:
             yield b"".join(found)
-            data, found, frame = frame.unused_data, [], decompressor.decompressobj()
+            data, found, fed, frame = frame.unused_data, [], False, decompressor.decompressobj()
         else:
             data = b""
-    if any(found):
+    if fed:
         raise ValueError("the archive ends within a record")
 
 

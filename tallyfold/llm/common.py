@@ -26,13 +26,20 @@ def cut(df: DataFrame) -> DataFrame:
 
     What led to it is let go, so that the shuffle files of finished steps don't pile up on the executors' disks.
     """
-    shared_dir(df.sparkSession)
+    spark = df.sparkSession
+    shared_dir(spark)
     out = df.checkpoint(eager=True)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    del df
+    _release(spark)
     return out
 
 
+def _release(spark: SparkSession) -> None:
+    """Lets Spark find what is no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def scratch(spark: SparkSession, kind: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
@@ -68,8 +75,8 @@ class Shared:
 def table(df: DataFrame, kind: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again, for wide results; otherwise like cut()."""
     spark = df.sparkSession
-    path = scratch(spark, kind)
+    path, schema = scratch(spark, kind), df.schema
     df.write.parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    _release(spark)
+    return spark.read.schema(schema).parquet(path)

@@ -11,9 +11,9 @@ filter); sizes must be compatible (length filter), what follows the shared word
 filter), and 64-bit odd sketches, whose differing bits are a lower bound of the sets' difference, must allow it.
 Candidates are verified on the words themselves.
 
-Equal sets are one class from the start. Classes are first compared with the earliest one of each of their prefix words
-and size bands only; most copies find an earlier match there and need no more. Only the others are joined with all
-earlier classes. So no group of copies is ever expanded into its pairs.
+Equal sets are one class from the start. Classes are first compared with the earliest one that begins, or ends, with the
+same words; most near copies find an earlier match there and look no further. All others are joined with all earlier
+classes by the filters above. So no group of copies is expanded into its pairs, and no match is lost.
 
 Defined cases: a null text stays null; empty lines and lines of white space have no words and stay; documents without an
 id stay as they are; rows with the same id count as one document; sets of less than four words match only
@@ -22,8 +22,6 @@ equal ones, which follows from the threshold; an empty table gives an empty tabl
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,33 +32,46 @@ NUM, DEN = 4, 5
 #: Entries of the table of counts: a constant, however large the corpus is.
 BUCKETS = 1 << 20
 _PART = 1 << 10
+#: Words at either end of a line under which copies find an earlier line first.
+ENDS = 6
+#: (document, line) entries that may be broadcast (about 30 bytes each); more are joined by shuffles.
+BROADCAST_LINES = 2_000_000
+
+
+def plain(text: Column) -> Column:
+    """The text with all blanks but line ends made spaces, as splitting at one character is cheap; most texts stay as they are."""
+    return F.when(F.rlike(text, F.lit(r"[\t\r\x0b\x0c]")), F.regexp_replace(text, r"[\t\r\x0b\x0c]", " ")).otherwise(text)
+
+
+def words_of(line: Column) -> Column:
+    """The words of a plain() line, with repeats and empty strings."""
+    return F.split(F.lower(line), " ")
 
 
 def words_in(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(F.lower(line), r"[\t-\r ]+"), ""))
+    """The set of the words of a plain() line."""
+    return F.array_distinct(F.array_remove(words_of(line), ""))
 
 
-def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> bytes:
-    """A byte for each bucket of word hashes: 1 + 4 log2 of the count of its words, at most 127."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[\t-\r ]+")).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(buckets)).alias("id")).agg(F.count("*").alias("c"))
-    level = F.least(F.lit(127), 1 + F.floor(4 * F.log2(F.coalesce("c", F.lit(1)))).cast("int"))
-    spelt = docs.sparkSession.range(buckets).join(counts, "id", "left").select("id", F.lpad(F.hex(level), 2, "0").alias("x"))
+def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> str:
+    """For each bucket of word hashes, separated by commas: 1 + 4 log2 of the count of its words, at most 126."""
+    words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
+    counts = words.groupBy(_bucket(F.xxhash64("w"), buckets).alias("id")).agg(F.count("*").alias("c"))
+    level = F.least(F.lit(126), 1 + F.floor(4 * F.log2(F.coalesce("c", F.lit(1)))).cast("int"))
+    spelt = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("id")).join(counts, "id", "left").select("id", level.cast("string").alias("x"))
     parts = spelt.groupBy(F.floor(F.col("id") / _PART).alias("part")).agg(F.sort_array(F.collect_list(F.struct("id", "x"))).alias("xs"))
-    rows = parts.select("part", F.array_join(F.transform("xs", lambda s: s["x"]), "").alias("hex")).collect()
-    return bytes.fromhex("".join(r["hex"] for r in sorted(rows, key=lambda r: r["part"])))
+    rows = parts.select("part", F.array_join(F.transform("xs", lambda s: s["x"]), ",").alias("levels")).collect()
+    return ",".join(r["levels"] for r in sorted(rows, key=lambda r: r["part"]))
 
 
-def codes_of(words: Column, counts: bytes) -> Column:
-    """The words as numbers in order of rarity: the class in the highest byte, 56 bits of hash below."""
-    known = F.lit(counts)
+def _bucket(h: Column, buckets: int) -> Column:
+    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
-    def code(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.ascii(F.substring(known, F.pmod(h, F.lit(len(counts))).cast("int") + 1, 1).cast("string"))
-        return F.shiftleft(level.cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.sort_array(F.transform(words, code))
+def codes_of(hashes: Column, levels: str, buckets: int) -> Column:
+    """Hashes of words as numbers in order of rarity: the class in the highest byte, 56 bits of the hash below."""
+    known = F.split(F.lit(levels), ",").cast("array<tinyint>")  # a constant, folded once
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(known, _bucket(h, buckets)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -68,22 +79,31 @@ def _needed(a: Column, b: Column) -> Column:
     return F.ceil((a + b) * NUM / (NUM + DEN) - 1e-9)
 
 
-def _fits(x: str, y: str, n: str = "n") -> Column:
-    """Length, positional and sketch filter of two index rows; `n` names x's size."""
-    a, b = F.col(f"{x}.{n}"), F.col(f"{y}.n")
-    needed = _needed(a, b)
-    after = F.least(a - F.col(f"{x}.p"), b - F.col(f"{y}.p"))
+def _allowed(x: str, y: str) -> Column:
+    """Length and sketch filter; a negative size of x lets nothing pass."""
+    a, b = F.col(f"{x}.n"), F.abs(F.col(f"{y}.n"))
     apart = F.bit_count(F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd")))
-    return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (after >= needed) & (apart <= a + b - 2 * needed)
+    return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (apart <= a + b - 2 * _needed(a, b))
+
+
+def _enough(x: str, y: str) -> Column:
+    """Positional filter: what follows the shared word suffices for the overlap."""
+    a, b = F.col(f"{x}.n"), F.abs(F.col(f"{y}.n"))
+    return F.least(a - F.col(f"{x}.p"), b - F.col(f"{y}.p")) >= _needed(a, b)
+
+
+def _joined(docs: DataFrame, per_doc: DataFrame, entries: int, how: str) -> DataFrame:
+    """`docs` with a table of lines by document, which is broadcast while its size allows."""
+    return docs.join(F.broadcast(per_doc) if entries <= BROADCAST_LINES else per_doc, "doc", how)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match; only documents with such lines are moved."""
-    ends = pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct()
+    """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match; only the lines in pairs are moved."""
+    ends = cut(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct())
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
-    lines = docs.join(wanted, "doc").select("doc", "wanted", F.split("text", "\n", -1).alias("lines"))
+    lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "wanted", F.split("text", "\n", -1).alias("lines"))
     lines = lines.select("doc", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get("lines", i).alias("text")))).alias("x"))
-    sets = cut(lines.select("doc", "x.line", words_in(F.col("x.text")).alias("words")))
+    sets = table(lines.select("doc", "x.line", words_in(F.col("x.text")).alias("words")), "sets")
     own = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("words2")), ["doc2", "line2"])
     both = F.size(F.array_intersect("words", "words2"))
     return own.where(both * DEN >= NUM * (F.size("words") + F.size("words2") - both)).select("doc", "line").distinct()
@@ -91,37 +111,40 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(doc, line) of all lines that go; lines are counted from 0."""
-    own = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text"))
-    counts = rarity(own, "text", buckets)
-    split = own.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    coded = split.select("doc", "line", words_in(F.col("text")).alias("words")).select("doc", "line", codes_of(F.col("words"), counts).alias("codes"))
+    own = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc"), plain(F.col(text).cast("string")).alias("text"))
+    levels = rarity(own, "text", buckets)
+    split = own.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).select("doc", "line", words_of(F.col("text")).alias("words"))
+    hashed = split.select("doc", "line", F.array_remove(F.transform("words", lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))).alias("h"))
+    ends = {"head": F.xxhash64(F.slice("h", 1, ENDS)), "tail": F.xxhash64(F.slice(F.col("h"), F.greatest(F.size("h") - (ENDS - 1), F.lit(1)), ENDS))}
+    coded = hashed.select("doc", "line", *[c.alias(k) for k, c in ends.items()], F.array_distinct("h").alias("h"))
+    coded = coded.select("doc", "line", "head", "tail", codes_of(F.col("h"), levels, buckets).alias("codes"))
     n = F.size("codes")
     odd = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(_bit(c)))
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
-    lines = coded.where(n > 0).select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), prefix.alias("prefix"))
+    lines = coded.where(n > 0).select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), "head", "tail", prefix.alias("prefix"))
     lines = table(lines, "lines")
 
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "odd", "prefix")).alias("x"))
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "odd", "head", "tail", "prefix")).alias("x"))
     classes = table(first.select("h1", "h2", "x.*"), "classes")
 
-    index = classes.where("n >= 4").select("doc", "line", "n", "odd", F.posexplode("prefix").alias("p", "code"))
-    banded = index.withColumn("band", F.floor(F.log("n") / math.log(DEN / NUM)).cast("int"))
-    row = F.struct("doc", "line", "n", "odd", "p")
-    head = F.first(row).over(Window.partitionBy("code", "band").orderBy("doc", "line"))
-    stars = banded.select(row.alias("own"), head.alias("head")).where("head.doc <> own.doc or head.line <> own.line").where(_fits("own", "head"))
-    stars = cut(stars.select("own.doc", "own.line", F.col("head.doc").alias("doc2"), F.col("head.line").alias("line2")).distinct())
+    row = F.struct("doc", "line", "n", "odd")
+    ends = classes.where("n >= 4").select(row.alias("own"), F.explode(F.array(F.xxhash64(F.lit(0), "head"), F.xxhash64(F.lit(1), "tail"))).alias("end"))
+    led = ends.withColumn("lead", F.first("own").over(Window.partitionBy("end").orderBy("own.doc", "own.line")))
+    stars = led.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
+    stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2")).distinct())
     matched = cut(_verified(stars, own))
 
-    flagged = classes.where("n >= 4").join(matched.withColumn("done", F.lit(True)), ["doc", "line"], "left")
-    # `open` is the size of a class that still looks for a match, else 0, which no length filter lets pass
-    rows = flagged.select("doc", "line", "n", "odd", F.when(F.col("done"), 0).otherwise(F.col("n")).alias("open"), F.posexplode("prefix").alias("p", "code"))
+    done = matched.withColumn("done", F.lit(True))
+    flagged = classes.where("n >= 4").join(F.broadcast(done) if matched.count() <= BROADCAST_LINES else done, ["doc", "line"], "left")
+    # a class that has its match gets a negative size, which lets it be found but not look any further; that test is part
+    # of the length filter, which sees both sides, so that one shuffle serves both
+    rows = flagged.select("doc", "line", F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n"), "odd", F.posexplode("prefix").alias("p", "code"))
     x, y = rows.alias("x"), rows.alias("y")
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") < F.col("x.line")))
-    met = x.join(y, F.col("x.code") == F.col("y.code")).where(_fits("x", "y", "open") & earlier)
-    # y's `open` is kept so that both sides are one shuffle
-    met = met.groupBy(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).agg(F.max("y.open").alias("open"))
+    met = x.join(y, F.col("x.code") == F.col("y.code")).where(_allowed("x", "y") & _enough("x", "y") & earlier)
+    met = met.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).distinct()
     met = cut(met.join(stars, ["doc", "line", "doc2", "line2"], "left_anti"))
-    matched = matched.unionByName(_verified(met.drop("open"), own)).distinct()
+    matched = matched.unionByName(_verified(met, own)).distinct()
 
     again = lines.select("doc", "line", "h1", "h2").join(classes.select("h1", "h2", F.col("doc").alias("doc2"), F.col("line").alias("line2")), ["h1", "h2"])
     again = again.where("doc <> doc2 or line <> line2").select("doc", "line")
@@ -134,17 +157,18 @@ def _bit(c: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """`docs` without the lines that go; with `counts` also n_lines and n_removed."""
-    gone = removed_lines(docs, key, text, buckets).groupBy("doc").agg(F.collect_set("line").alias("__gone"))
-    lines = F.split(F.col(text), "\n", -1)
-    joined = docs.join(gone, docs[key] == F.col("doc"), "left").withColumn("__lines", lines)
+    gone = cut(removed_lines(docs, key, text, buckets).distinct())
+    per_doc = gone.groupBy("doc").agg(F.collect_set("line").alias("__gone"))
+    names = [f"__{i}" for i in range(len(docs.columns))]
+    own = docs.toDF(*names).withColumn("doc", F.col(names[docs.columns.index(key)]))
+    joined = _joined(own, per_doc, gone.count(), "left").withColumn("__lines", F.split(F.col(names[docs.columns.index(text)]), "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
     left = F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")
-    out = joined.withColumn("__left", F.when(F.col("__gone").isNull(), F.col(text)).otherwise(left))
-    columns = [F.col("__left").alias(c) if c == text else docs[c] for c in docs.columns]
+    old = F.col(names[docs.columns.index(text)])
+    columns = [(F.when(F.col("__gone").isNull(), old).otherwise(left) if c == text else F.col(n)).alias(c) for n, c in zip(names, docs.columns, strict=True)]
     if counts:
-        size = F.coalesce(F.size("__lines"), F.lit(0))
-        columns += [F.when(docs[text].isNull(), 0).otherwise(size).cast("long").alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed")]
-    return out.select(*columns)
+        columns += [F.when(old.isNull(), 0).otherwise(F.size("__lines")).cast("long").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_removed")]
+    return joined.select(*columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,3 +80,22 @@ def table(df: DataFrame, kind: str) -> DataFrame:
     del df
     _release(spark)
     return spark.read.schema(schema).parquet(path)
+
+
+class Tables:
+    """Tables in the shared folder that are deleted when what needs them is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame, kind: str) -> DataFrame:
+        out = table(df, kind)
+        self.paths.append(out.inputFiles()[0].rpartition("/")[0] if out.inputFiles() else None)
+        return out
+
+    def drop(self) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for p in filter(None, self.paths):
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self.paths = []

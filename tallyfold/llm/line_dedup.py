@@ -25,12 +25,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import Tables, cut
 
 #: The threshold is NUM / DEN.
 NUM, DEN = 4, 5
 #: Entries of the table of counts: a constant, however large the corpus is.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 _PART = 1 << 10
 #: Words at either end of a line under which copies find an earlier line first.
 ENDS = 6
@@ -97,13 +97,13 @@ def _joined(docs: DataFrame, per_doc: DataFrame, entries: int, how: str) -> Data
     return docs.join(F.broadcast(per_doc) if entries <= BROADCAST_LINES else per_doc, "doc", how)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
     """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match; only the lines in pairs are moved."""
     ends = cut(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct())
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
     lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "wanted", F.split("text", "\n", -1).alias("lines"))
     lines = lines.select("doc", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get("lines", i).alias("text")))).alias("x"))
-    sets = table(lines.select("doc", "x.line", words_in(F.col("x.text")).alias("words")), "sets")
+    sets = kept.keep(lines.select("doc", "x.line", words_in(F.col("x.text")).alias("words")), "sets")
     own = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("words2")), ["doc2", "line2"])
     both = F.size(F.array_intersect("words", "words2"))
     return own.where(both * DEN >= NUM * (F.size("words") + F.size("words2") - both)).select("doc", "line").distinct()
@@ -122,17 +122,18 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
     odd = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(_bit(c)))
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
     lines = coded.where(n > 0).select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), "head", "tail", prefix.alias("prefix"))
-    lines = table(lines, "lines")
+    kept = Tables(docs.sparkSession)
+    lines = kept.keep(lines, "lines")
 
     first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "odd", "head", "tail", "prefix")).alias("x"))
-    classes = table(first.select("h1", "h2", "x.*"), "classes")
+    classes = kept.keep(first.select("h1", "h2", "x.*"), "classes")
 
     row = F.struct("doc", "line", "n", "odd")
     ends = classes.where("n >= 4").select(row.alias("own"), F.explode(F.array(F.xxhash64(F.lit(0), "head"), F.xxhash64(F.lit(1), "tail"))).alias("end"))
     led = ends.withColumn("lead", F.first("own").over(Window.partitionBy("end").orderBy("own.doc", "own.line")))
     stars = led.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
     stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2")).distinct())
-    matched = cut(_verified(stars, own))
+    matched = cut(_verified(stars, own, kept))
 
     done = matched.withColumn("done", F.lit(True))
     flagged = classes.where("n >= 4").join(F.broadcast(done) if matched.count() <= BROADCAST_LINES else done, ["doc", "line"], "left")
@@ -144,11 +145,13 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
     met = x.join(y, F.col("x.code") == F.col("y.code")).where(_allowed("x", "y") & _enough("x", "y") & earlier)
     met = met.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).distinct()
     met = cut(met.join(stars, ["doc", "line", "doc2", "line2"], "left_anti"))
-    matched = matched.unionByName(_verified(met, own)).distinct()
+    matched = matched.unionByName(_verified(met, own, kept)).distinct()
 
     again = lines.select("doc", "line", "h1", "h2").join(classes.select("h1", "h2", F.col("doc").alias("doc2"), F.col("line").alias("line2")), ["h1", "h2"])
     again = again.where("doc <> doc2 or line <> line2").select("doc", "line")
-    return again.unionByName(matched)
+    out = cut(again.unionByName(matched).distinct())
+    kept.drop()
+    return out
 
 
 def _bit(c: Column) -> Column:
@@ -157,7 +160,7 @@ def _bit(c: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """`docs` without the lines that go; with `counts` also n_lines and n_removed."""
-    gone = cut(removed_lines(docs, key, text, buckets).distinct())
+    gone = removed_lines(docs, key, text, buckets)
     per_doc = gone.groupBy("doc").agg(F.collect_set("line").alias("__gone"))
     names = [f"__{i}" for i in range(len(docs.columns))]
     own = docs.toDF(*names).withColumn("doc", F.col(names[docs.columns.index(key)]))

@@ -9,7 +9,12 @@ values different ones, and whoever has the key can undo it. Separators, brackets
 
 A value's pseudonym depends on the key and the value alone: no table is kept and nothing is shuffled.
 
-Defined cases: a null text stays null; numbers that fail validation stay; repeated rows are handled alike; texts of any
+Where a match fails its check, shorter ends are tried, then the kinds that follow at the same place, then the next
+character. The image of a card keeps the outcome of the check of every longer number around it, so undoing finds the same
+values; it can miss one only where its pseudonym completes a failed number that overlaps just a part of it.
+
+Defined cases: a null text stays null; numbers that fail validation stay; an IBAN has the length of its country; a date
+with slashes is day-first where month-first is no date; repeated rows are handled alike; texts of any
 length are searched whole; an empty table gives an empty table; output columns replace input columns of the same name.
 """
 
@@ -87,6 +92,42 @@ def _iban_check(country: str, rest: str) -> int:
     return 98 - int("".join(str(int(c, 36)) for c in f"{rest}{country}00")) % 97
 
 
+#: The length of an IBAN by its country; of other countries, any length whose check holds.
+IBAN_LENGTH = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL FK SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
+
+
+def _other_luhn(digits: str) -> int:
+    """The Luhn sum with the other places doubled: it and luhn() decide the check of every number that `digits` is a part of."""
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 - i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10
+
+
+def _check_digit(body: str) -> str:
+    return next(c for c in "0123456789" if luhn(body + c))
+
+
+@lru_cache(None)
+def _card_like(k: int, other: int) -> Callable[[int], bool]:
+    """Bodies of k digits whose card number has the same other Luhn sum."""
+
+    def valid(x: int) -> bool:
+        body = f"{x:0{k}d}"
+        return x > 0 and _other_luhn(body + _check_digit(body)) == other
+
+    return valid
+
+
 def _valid_ssn(x: int) -> bool:
     area, group, serial = x // 10**6, x // 10**4 % 100, x % 10**4
     return area not in (0, 666) and area < 900 and group > 0 and serial > 0
@@ -96,6 +137,15 @@ _FIRST_DAY = datetime.date(1800, 1, 1).toordinal()
 _DAYS = datetime.date(2200, 1, 1).toordinal() - _FIRST_DAY
 
 
+def _late(x: int) -> bool:
+    """Days after the 12th stay among themselves: only they have a spelling that month-first is no date."""
+    return datetime.date.fromordinal(_FIRST_DAY + x).day > 12
+
+
+def _early(x: int) -> bool:
+    return not _late(x)
+
+
 def _fill(pattern: str, digits: str) -> str:
     """`pattern` with its digits replaced one by one."""
     it = iter(digits)
@@ -119,13 +169,13 @@ class Pseudonyms:
         if not luhn(digits) or not digits.strip("0"):
             return None
         k = len(digits) - 1
-        body = f"{self.permuted(f'card{k}', 10**k, int(digits[:-1])):0{k}d}"
-        return _fill(found, body + next(c for c in "0123456789" if luhn(body + c)))
+        body = f"{self.permuted(f'card{k}', 10**k, int(digits[:-1]), _card_like(k, _other_luhn(digits))):0{k}d}"
+        return _fill(found, body + _check_digit(body))
 
     def iban(self, found: str) -> str | None:
         plain = found.replace(" ", "").upper()
         country, check, rest = plain[:2], plain[2:4], plain[4:]
-        if not 11 <= len(rest) <= 30 or int(check) != _iban_check(country, rest):
+        if not 11 <= len(rest) <= 30 or len(plain) != IBAN_LENGTH.get(country, len(plain)) or int(check) != _iban_check(country, rest):
             return None
         radix = [26 if c.isalpha() else 10 for c in rest]
         new = self._mixed(f"iban{country}", rest, radix)
@@ -171,10 +221,11 @@ class Pseudonyms:
     def date(self, found: str) -> str | None:
         parts = re.split(r"[-./]", found)
         year_first = len(parts[0]) == 4
+        month_first = "/" in found and int(parts[0]) <= 12
         try:
             if year_first:
                 day = datetime.date(*map(int, parts))
-            elif "/" in found:
+            elif month_first:
                 day = datetime.date(int(parts[2]), int(parts[0]), int(parts[1]))
             else:
                 day = datetime.date(int(parts[2]), int(parts[1]), int(parts[0]))
@@ -183,8 +234,8 @@ class Pseudonyms:
         at = day.toordinal() - _FIRST_DAY
         if not 0 <= at < _DAYS:
             return None
-        new = datetime.date.fromordinal(_FIRST_DAY + self.permuted("date", _DAYS, at))
-        order = ("%Y%m%d") if year_first else ("%m%d%Y" if "/" in found else "%d%m%Y")
+        new = datetime.date.fromordinal(_FIRST_DAY + self.permuted("date", _DAYS, at, _late if day.day > 12 else _early))
+        order = ("%Y%m%d") if year_first else ("%m%d%Y" if month_first else "%d%m%Y")
         # days and months are written with two digits, so that every date of the calendar has a spelling
         return _fill(re.sub(r"(?<!\d)\d(?!\d)", "00", found), new.strftime(order).zfill(8))
 
@@ -202,15 +253,19 @@ class Pseudonyms:
 
 
 #: What is looked for, in this order at each place.
-PATTERN = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})"
-    r"|(?P<iban>(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<phone>\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,5}){1,5}(?![0-9])|(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9]))"
-    r"|(?P<date>(?<![0-9./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9/-]))"
-    r"|(?P<ssn>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
-    r"|(?P<ipv4>(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9]))"
-    r"|(?P<card>(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]))"
-)
+KINDS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}",
+    "iban": r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])",
+    "phone": r"\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,5}){1,5}(?![0-9])|(?<![0-9+(])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9])",
+    "date": r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9/-])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
+    "card": r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+}
+PATTERN = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
+_ONE = {k: re.compile(p) for k, p in KINDS.items()}
+#: Where a match of these may end sooner, when its check fails.
+_END = {"iban": re.compile(r"(?<=[A-Za-z0-9])(?![A-Za-z0-9])"), "card": re.compile(r"(?<=[0-9])(?![0-9])"), "phone": re.compile(r"(?<=[0-9])(?![0-9])")}
 _MAYBE = re.compile(r"[0-9@]")
 
 
@@ -220,14 +275,34 @@ def replace(text: str | None, by: Pseudonyms) -> tuple[str | None, dict[str, int
     if text is None or not _MAYBE.search(text):
         return text, found
 
-    def one(m: re.Match) -> str:
-        new = getattr(by, m.lastgroup)(m[0])
-        if new is None:
-            return m[0]
-        found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-        return new
-
-    return PATTERN.sub(one, text), found
+    out, done, at = [], 0, 0
+    while m := PATTERN.search(text, at):
+        kind, end, new = _value(text, m, by)
+        at = m.start() + 1
+        if new is not None:
+            found[kind] = found.get(kind, 0) + 1
+            out += text[done : m.start()], new
+            done = at = end
+    return "".join([*out, text[done:]]), found
+
+
+def _value(text: str, m: re.Match, by: Pseudonyms) -> tuple[str, int, str | None]:
+    """(kind, end, pseudonym) of the first value that starts where `m` does and passes its check: kinds in order, longest first."""
+    kinds = list(KINDS)
+    for kind in kinds[kinds.index(m.lastgroup) :]:
+        one = _ONE[kind].match(text, m.start())
+        if one is None:
+            continue
+        ends = [one.end()]
+        if kind in _END:
+            ends += [e.start() for e in _END[kind].finditer(text, one.start() + 1, one.end())][::-1]
+        for end in dict.fromkeys(ends):
+            if end < one.end() and not _ONE[kind].fullmatch(text, one.start(), end):
+                continue
+            new = getattr(by, kind)(text[one.start() : end])
+            if new is not None:
+                return kind, end, new
+    return m.lastgroup, m.end(), None
 
 
 def pseudonymize(docs: DataFrame, key: bytes, text: str = "text", keep: list[str] | None = None, undo: bool = False) -> DataFrame:

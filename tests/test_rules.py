@@ -141,3 +141,16 @@ def test_routes_and_summaries(spark):
 def test_duplicate_numbers_raise(spark):
     with pytest.raises(Exception, match="duplicate invoice number"):
         rules.triage(model(spark, invoice("000001"), invoice("000001"))).collect()
+
+
+def test_queries_over_all_rules(spark):
+    from tallyfold.plans.queries import QUERIES, SOME
+    from tallyfold.sources.model import from_tpch
+
+    sf = "/root/testdata/sf0.001"
+    m = from_tpch(spark, sf)
+    others = ["line_arithmetic", "invoice_total", "party_consistency"]
+    assert not set(others) & set(SOME)
+    flagged = rules.evaluate(m, {n: rules.RULES[n] for n in others}).where("outcome = 'flag'").select("invoice_number").distinct()
+    routes = QUERIES["all_rules_routes"](spark, sf).join(flagged, "invoice_number").groupBy("route").count().collect()
+    assert routes and {r.route for r in routes} <= {"human_review", "excluded"}

@@ -16,7 +16,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyfold.functions.scalars import DUPLICATE_DAYS, NEAR_DAYS, add_days, days_between, line_commission
+from tallyfold.functions.scalars import DUPLICATE_DAYS, NEAR_DAYS, add_days, days_between, line_commission, rounded
 from tallyfold.sources.model import Model
 
 from .rules import customer_order
@@ -168,10 +168,52 @@ def kind_against_moved(cases: DataFrame, score: str) -> DataFrame:
     return auc(long.withColumn("positive", F.col("kind") != "moved"), score, "positive", ["split", "against"])
 
 
-def demo_cases(m: Model) -> DataFrame:
-    """A few cases of every kind over the rules that leave clean invoices in this data; kinds without candidates raise."""
+def comparison_score(cases: DataFrame) -> Column:
+    """The offline scorer's p of a case: the likeness of its two baskets, less for a longer gap."""
+    of = lambda side: F.transform(f"{side}.lines", lambda x: x["product_id"])
+    union = F.size(F.array_union(of("previous"), of("current")))
+    likeness = F.when(union > 0, rounded(F.size(F.array_intersect(of("previous"), of("current"))) / union, 4)).otherwise(0.0)
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), likeness * (1 - 0.1 * F.col("gap_days"))))
+
+
+def kind_shares(cases: DataFrame, p: Column, threshold: float) -> DataFrame:
+    """By split and kind: cases, the rule's share, the share of rule or p >= threshold, median p and the share of p >= threshold.
+
+    Every split and kind has a row; without cases the shares are null.
+    """
+    own = cases.select("split", "kind", rebilled(cases).alias("rule"), p.alias("p")).withColumn("flagged", F.col("p") >= threshold)
+    share = lambda c: rounded(F.avg(c.cast("int")), 6)
+    by = own.groupBy("split", "kind").agg(
+        F.count("*").alias("n"), share(F.col("rule")).alias("rule_share"), share(F.col("rule") | F.col("flagged")).alias("review_share"),
+        F.percentile("p", F.lit(0.5)).alias("median_p"), share(F.col("flagged")).alias("flagged_share"),
+    )
+    domain = cases.sparkSession.createDataFrame([(s, k) for s in ("tune", "test") for k in LABELS], "split string, kind string")
+    return domain.join(by, ["split", "kind"], "left").na.fill(0, ["n"])
+
+
+def real_load(answers: DataFrame, threshold: float) -> DataFrame:
+    """Model-routed invoices of tune and test by split: invoices, those with p >= threshold, and the rest."""
+    by = answers.groupBy("split").agg(F.count("*").alias("invoices"), F.count_if(F.col("p") >= threshold).alias("human_review"), F.count_if(F.col("p") < threshold).alias("auto_approve"))
+    domain = answers.sparkSession.createDataFrame([("tune",), ("test",)], "split string")
+    return domain.join(by, "split", "left").na.fill(0)
+
+
+def _demo(m: Model) -> DataFrame:
     from .rules import RULES, triage
 
     routes = triage(m, {n: RULES[n] for n in ("duplicate_lines", "rebilled_products")})
-    cases = plant(m, routes, per_label=4, seed=7, weights={0: 1, 1: 3, 2: 2}, changed=2)
+    return plant(m, routes, per_label=4, seed=7, weights={0: 1, 1: 3, 2: 2}, changed=2)
+
+
+def demo_kind_shares(m: Model) -> DataFrame:
+    """kind_shares() of demo_cases() at the default threshold."""
+    from .scoring import THRESHOLD
+
+    cases = _demo(m)
+    return kind_shares(cases, comparison_score(cases), THRESHOLD)
+
+
+def demo_cases(m: Model) -> DataFrame:
+    """A few cases of every kind over the rules that leave clean invoices in this data; kinds without candidates raise."""
+    cases = _demo(m)
     return cases.select("case_id", "kind", "label", "split", F.array_join("source_invoices", ",").alias("sources"), "gap_days", F.col("current.invoice_total_cents").alias("total_cents"))

@@ -1,4 +1,5 @@
 import json
+from datetime import date
 
 import pandas as pd
 import pytest
@@ -144,6 +145,21 @@ def test_planted_cases(spark):
     assert {r.auc for r in planting.kind_against_moved(cases.withColumn("p", F.lit(0.5)), "p").collect()} == {0.5}
 
 
+def test_kind_shares_and_real_load(spark):
+    side = "struct<billing_date:date,lines:array<struct<product_id:string>>>"
+    case = lambda split, kind, gap, a, b: (split, kind, gap, (date(2024, 1, 1), [(x,) for x in a]), (date(2024, 1, 1 + gap), [(x,) for x in b]))
+    cases = spark.createDataFrame(
+        [case("tune", "rebill", 1, "ab", "a"), case("tune", "rebill", 2, "abcd", "a"), case("tune", "moved", 0, "abc", "abd"), case("tune", "moved", 0, "a", "b"), case("test", "split", 1, "a", "b")],
+        f"split string, kind string, gap_days int, previous {side}, current {side}",
+    )
+    got = {(r.split, r.kind): tuple(r)[2:] for r in planting.kind_shares(cases, planting.comparison_score(cases), 0.4).collect()}
+    assert len(got) == 8 and got["test", "rebill"] == (0, None, None, None, None)
+    assert got["tune", "rebill"] == (2, 1.0, 1.0, pytest.approx(0.325), 0.5)
+    assert got["tune", "moved"] == (2, 0.0, 0.5, 0.25, 0.5) and got["test", "split"] == (1, 0.0, 0.0, 0.0, 0.0)
+    answers = spark.createDataFrame([("tune", 0.4), ("tune", 0.3), ("demo", 0.9)], "split string, p double")
+    assert {tuple(r) for r in planting.real_load(answers, 0.4).collect()} == {("tune", 2, 1, 1), ("test", 0, 0, 0)}
+
+
 def test_report(spark, tmp_path):
     assert report.format_cell(None) == "—" and "1,000" in report.format_table([{"n": 1000, "s": "x"}])
     assert report.display_path("/elsewhere/secret/out.json", "/project") == "out.json" and report.display_path("/project/a/b", "/project") == "a/b"

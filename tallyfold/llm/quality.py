@@ -7,8 +7,8 @@ weighs the passages, a_k proportional to exp(w (tanh(V h_k) * sigmoid(U h_k)));
 weighted passage representation z = sum a_k h_k. All of E, V, U, w, c and b are learned together from document labels
 alone, by Adam, on a bounded sample of labelled documents.
 
-Bounds of the fit, all parameters: at most `per_class` documents of each label (those of the smallest hash of the id)
-and `fit_passages` evenly spaced passages of each. Scoring covers every passage of every whole text.
+Bound of the fit, a parameter: at most `per_class` documents of each label (those of the smallest hash of the id). Fitting
+and scoring cover every passage of every whole text.
 
 Defined cases: a null or empty text is one empty passage and has a score like any other; equal texts have equal scores;
 labels that are null, neither 0 nor 1, or contradict each other for one document are left out; with labels of one kind
@@ -36,7 +36,6 @@ PAIRS = 512
 INPUTS = 256 + PAIRS + 2
 HIDDEN, GATE = 32, 16
 PER_CLASS = 1_500
-FIT_PASSAGES = 24
 EPOCHS = 40
 CHUNK_BYTES = 1_000_000
 #: A document is predicted good from this score on.
@@ -164,8 +163,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
             counts, _ = passages([text or b""])
-            if len(counts) > FIT_PASSAGES:
-                counts = counts[np.linspace(0, len(counts) - 1, FIT_PASSAGES).astype(int)]
             yield pa.RecordBatch.from_pydict({"label": pa.array([label], pa.int32()), "counts": [np.minimum(counts, 65535).astype("<u2").tobytes()]})
 
 

@@ -9,6 +9,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -354,6 +355,12 @@ def test_pii_undone_in_context():
         assert found == {"card": 1, "date": 2} and pii.replace(new, pii.Pseudonyms(b"key", undo=True))[0] == text
 
 
+def test_fit_takes_all_passages():
+    batch = pa.RecordBatch.from_pydict({"label": pa.array([0], pa.int32()), "text": pa.array(["word " * 64 * 40])})
+    counts = next(quality._counted(iter([batch]))).column(1)[0].as_py()
+    assert len(counts) == 40 * quality.INPUTS * 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 100, 1009])
 def test_feistel_permutes(n):
     f = pii.Feistel(b"k", "t", n)

@@ -50,6 +50,29 @@ def sharing(df: DataFrame, per_task: int, rows: int) -> int:
     return max(1, -(-rows // per_task))
 
 
+#: Narrow rows (some 50 bytes each in memory) that may be broadcast.
+FEW_ROWS = 1_000_000
+#: Keys with more than one in HOT_KEYS of all rows, and more than HOT_ROWS, are hot: there are fewer than HOT_KEYS.
+HOT_KEYS, HOT_ROWS = 10_000, 10_000
+
+
+def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
+    """`df`, narrow and materialised, marked for a broadcast if it is counted to be small; else it is joined by shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def hot_join(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str) -> DataFrame:
+    """Left join of `rows` with `keyed`, unique by `on`, where the column `copies` tells how many rows a key has.
+
+    Hot keys are broadcast, fewer than HOT_KEYS of them, so that no task gets all rows of one; the others are shuffled.
+    Both sides are read several times: hand over materialised ones.
+    """
+    limit = max(HOT_ROWS, (keyed.agg(F.sum(copies)).first()[0] or 0) // HOT_KEYS)
+    hot = F.broadcast(keyed.where(F.col(copies) > limit).drop(copies))
+    cold = keyed.where(F.col(copies) <= limit).drop(copies)
+    return rows.join(hot, on).unionByName(rows.join(hot, on, "left_anti").join(cold, on, "left"))
+
+
 def words_lower(column):
     """A-Z lower-cased only, whatever the locale; other letters stay."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

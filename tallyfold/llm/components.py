@@ -5,32 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hot_join
+
+
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """`rows` with `m` of their node; nodes of many rows are broadcast, see hot_join."""
+    return hot_join(rows, least, ["a"], "copies")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    least = cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("copies")))
+    return _with_least(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    least = cut(down.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("copies")))
+    moved = _with_least(down, least).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of `links`; component is the smallest node that it reaches.
 
-    A hot node's links are joined, never gathered. Every round is cut off in the shared folder; the number of rounds
+    A hot node's links are joined by a broadcast of the hot nodes (a bounded number), never gathered. Every round is cut off in the shared folder; the number of rounds
     grows with the logarithm of the longest chain. Links with a null end or to themselves are ignored.
     """
     edges = cut(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
     state = None
     while True:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(cut(_large_star(edges))))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -2,21 +2,30 @@
 
 A document is the set of its distinct 3-word shingles; two link when their Jaccard similarity reaches a threshold (0.9).
 Sets of sizes s and t can only link if they differ in at most H = floor((s + t) (1 - j) / (1 + j)) shingles. The universe
-of shingles is hashed into segments, by size band; with a budget v of 0, 1 or 2 for each segment whose sum is H + 1, two
-linked sets have some segment i in which they differ by less than v_i: the same segment subset where v is 1, at most one
-shingle apart where v is 2. A set is therefore indexed under its segment subsets, and for segments with v = 2 also under
-their one-deletion neighbourhoods. Budgets start at 1 each; segments whose subsets are shared by so many sets that their
-pairs cost more than another segment's deletions get 0, and that other segment gets 2 (allocation by cost, from counts
-over all sets).
+of shingles is hashed into segments, by size band; with budgets v of 0, 1 or 2 for the segments, whose sum exceeds H by a
+reserve, two linked sets have matching segments i, in which they differ by less than v_i, of a total budget above that
+reserve: the same segment subset where v is 1, at most one shingle apart where v is 2. A set is therefore indexed under
+its segment subsets, and for segments with v = 2 also under their one-deletion neighbourhoods. Budgets start at 1 each;
+segments whose subsets are shared by so many sets that their pairs cost more than another segment's deletions get 0, and
+that other segment gets 2 (allocation by cost, from counts over all sets).
+
+Signatures that many sets share for nothing are left out, and the reserve pays for them: the empty subset; signatures in
+a bucket that holds more than 1 in HEAVY of all rows (a fixed number of counters, over all sets); and signatures of more
+than CROWD sets that are still in several components. Whether one is left out depends on the signature alone. A linked
+pair is only missed if all its matching segments are such, and then both sets have lost more budget than the reserve; so
+the sets that lost more are indexed again, with another division of the universe, and in the last of LEVELS divisions
+with all their signatures. No pair is lost, and no group is larger than a fixed share of the rows, or than CROWD, before
+that last division.
 
 Candidates never become all pairs of a group. Equal sets are one class from the start. In a round of stars every class
-is checked against the smallest document of each of its groups only; components of these links are then known, and only
-classes of different components that still share a group are paired, behind a filter on odd sketches (bits that
-differ are a lower bound of the sets' difference). Every candidate is verified on the words themselves.
+is checked against the first of each of its groups only; components of these links are then known, and only classes of
+different components that still share a group are paired. Sizes and odd sketches (bits that differ are a lower bound of
+the sets' difference), at last sketches of about one bit a shingle, thin out the candidates before any text moves; the
+rest is verified on the words themselves, with one copy of the smaller document's text for up to PARTS parts of its star.
 
 Defined cases: a null text, or one without words, has an empty set and links with nothing; texts of one or two words have
-one shingle, the whole sequence; repeated rows are equal sets; an empty table gives an empty table; only the named
-columns are read.
+one shingle, the whole sequence; repeated rows are equal sets; a row without a key gets the component of an equal set
+with a key, else null, and links through it only; an empty table gives an empty table; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -31,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, cut
+from .common import Shared, Tables, cut, few, hot_join
 from .components import components
 from .decontaminate import Words, chunks
 
@@ -44,6 +53,15 @@ SKETCH_WORDS = 8
 CHUNK_BYTES = 2_000_000
 #: One indexed row costs about as much as so many candidate pairs.
 ROW_COST = 2.0
+#: Sets of more shingles have a second sketch of at least a bit a shingle.
+WIDE = 1_000
+#: Counters of signatures, and the share of all rows (1 in HEAVY) above which a counter's signatures are left out.
+COUNTERS, HEAVY = 8_192, 4_096
+#: Classes of a group that may be paired before the last division of the universe.
+CROWD = 64
+LEVELS = 3
+#: Parts that share a star's centre in verification.
+PARTS = 32
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[9, 10, 11, 12, 13, 32]] = False
@@ -110,39 +128,78 @@ class Bands:
         self._grow(self.low[band] + 1)
         return 2 * (self.low[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
 
+    def reserve(self, band: int) -> int:
+        """What the budgets of matching segments add up to, less one."""
+        return 1 + self.difference(band) // 8
+
     def budget(self, band: int) -> np.ndarray:
         if band in self.budgets:
             return self.budgets[band]
-        return np.ones(self.difference(band) + 1, np.int8)
+        return np.ones(self.difference(band) + 1 + self.reserve(band), np.int8)
+
+
+def _counter(sig: np.ndarray) -> np.ndarray:
+    return (sig >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
 
-def signatures(text: np.ndarray, grams: np.ndarray, sizes: np.ndarray, bands: Bands) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(band, text, segment, signature) rows of all sets, band by band."""
+def signatures(text: np.ndarray, grams: np.ndarray, sizes: np.ndarray, bands: Bands, level: int = 0, heavy: np.ndarray | None = None, last: bool = True, unsafe: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(band, text, place, signature) rows of all sets, band by band; place has segment, budget and reserve left, see _PLACE.
+
+    `level` chooses the division of the universe, `heavy` marks counters whose signatures are left out. Texts that lose
+    more than the reserve are marked in `unsafe`; in the `last` division they have all their signatures.
+    """
     members: dict[int, list[int]] = defaultdict(list)
     for size in np.unique(sizes[sizes > 0]).tolist():
         for band in bands.of(size):
             if bands.difference(band) > 0:
                 members[band].append(size)
     second = _mix(grams, _B)
+    divided = grams if level == 0 else _mix(grams + np.uint64(level), _A)
     for band, own in members.items():
         chosen = np.isin(sizes, own)
         budget = bands.budget(band)
-        m = len(budget)
+        m, total = len(budget), int(chosen.sum())
         place = np.cumsum(chosen) - 1
         rows = np.flatnonzero(chosen[text])
-        segment = ((grams[rows] >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
+        segment = ((divided[rows] >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         key = place[text[rows]] * m + segment
-        total = int(chosen.sum())
-        sums = _sums(key, second[rows], total * m)
-        salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64(band << 32), _A)
-        who = np.repeat(np.flatnonzero(chosen), m)
-        seg = np.tile(np.arange(m), total)
-        used = budget[seg] > 0
-        yield band, who[used], seg[used], _mix(sums[used] + salt[seg[used]], _A)
+        held, sums = np.bincount(key, minlength=total * m), _sums(key, second[rows], total * m)
+        salt = _mix(np.arange(m, dtype=np.uint64) + np.uint64((band << 32) + (level << 48)), _A)
+        keys = np.flatnonzero(np.tile(budget > 0, total))
+        sig, left_out = _mix(sums[keys] + salt[keys % m], _A), held[keys] == 0
         if (budget == 2).any():
             double = budget[segment] == 2
             at = key[double]
-            yield band, text[rows[double]], segment[double], _mix(sums[at] - second[rows[double]] + salt[segment[double]], _A)
+            keys = np.concatenate([keys, at])
+            sig = np.concatenate([sig, _mix(sums[at] - second[rows[double]] + salt[at % m], _A)])
+            left_out = np.concatenate([left_out, held[at] == 1])
+        if heavy is not None:
+            left_out |= heavy[_counter(sig)]
+        lost = np.zeros(total * m, bool)
+        lost[keys[left_out]] = True
+        room = bands.reserve(band) - (lost.reshape(total, m) * budget).sum(1)
+        if unsafe is not None:
+            unsafe[np.flatnonzero(chosen)[room < 0]] = True
+        used = ~left_out | (last & (room < 0)[keys // m])
+        keys, sig = keys[used], sig[used]
+        seg = keys % m
+        yield band, np.flatnonzero(chosen)[keys // m], _place(band, seg, budget[seg], np.maximum(room[keys // m], 0)), sig
+
+
+#: Bits of a place: band, budget, segment, reserve left.
+_PLACE = {"band": (44, 12), "v": (42, 2), "segment": (20, 22), "room": (0, 20)}
+
+
+def _place(band: int, segment: np.ndarray, v: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Exact for sets of up to 4 million segments, some 18 million shingles; larger ones raise."""
+    if len(segment) and int(segment.max()) >> 22:
+        raise ValueError("a document has more than 4 million segments")
+    return (np.int64(band) << 44) | (v.astype(np.int64) << 42) | (segment.astype(np.int64) << 20) | np.minimum(room, (1 << 20) - 1).astype(np.int64)
+
+
+def _placed(name: str):
+    low, bits = _PLACE[name]
+    return F.shiftrightunsigned("place", low).bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias(name)
 
 
 def allocate(bands: Bands, pairs: dict[int, dict[int, float]], sets: dict[int, tuple[int, int]]) -> Bands:
@@ -151,7 +208,7 @@ def allocate(bands: Bands, pairs: dict[int, dict[int, float]], sets: dict[int, t
     The costliest segment is given up, for the deletions of the cheapest, as long as that is cheaper.
     """
     for band, by_segment in pairs.items():
-        budget = np.ones(bands.difference(band) + 1, np.int8)
+        budget = np.ones(len(bands.budget(band)), np.int8)
         n, shingles = sets[band]
         deletions = ROW_COST * shingles / len(budget)
         order = sorted(range(len(budget)), key=lambda i: -by_segment.get(i, 0.0))
@@ -168,13 +225,50 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
 
 
-SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType())] + [T.StructField(f"s{i}", T.LongType()) for i in range(SKETCH_WORDS)])
+_LONGS = ["doc", "n", "k1", "k2"] + [f"s{i}" for i in range(SKETCH_WORDS)]
+SETS = T.StructType([T.StructField(c, T.LongType()) for c in _LONGS] + [T.StructField("wide", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType()))])
+_SETS_ARROW = pa.schema([(c, pa.int64()) for c in _LONGS] + [("wide", pa.binary()), ("counts", pa.list_(pa.int64()))])
+#: Sets that a task remembers having indexed; a copy beyond them is indexed again, which does no harm.
+SEEN = 1_000_000
+
+
+class _New:
+    """Says which sets a task has not met before."""
+
+    def __init__(self):
+        self.seen: set[int] = set()
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        new = np.zeros(len(keys), bool)
+        for i, k in enumerate(keys.tolist()):
+            if k not in self.seen:
+                new[i] = True
+                self.seen.add(k)
+        if len(self.seen) > SEEN:
+            self.seen.clear()
+        return new
+
+
+def wide_sketch(grams: np.ndarray) -> bytes:
+    """The odd sketch of a set in the least power of two of bits that is not below its size."""
+    bits = 1 << max(6, int(len(grams) - 1).bit_length())
+    odd = np.bincount((_mix(grams, _B) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
 
+def wide_apart(one: bytes, two: bytes) -> int:
+    """A lower bound of the difference of two sets by their sketches; the longer one is folded."""
+    a, b = sorted((np.frombuffer(x, np.uint8) for x in (one, two)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
-def _describe(n: int):
-    """(doc, set size, two hashes of the set, odd sketch) of every document."""
+
+def _describe(n: int, bands: Shared):
+    """(doc, set size, two hashes of the set, odd sketches) of every document; and a row of counted signatures a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new, counts = _New(), np.zeros(COUNTERS, np.int64)
         for batch in batches:
             texts = _texts(batch)
             for a, b in chunks(texts, CHUNK_BYTES):
@@ -184,40 +278,38 @@ def _describe(n: int):
                 odd = np.bincount(text * bits + (_mix(grams, _C) & np.uint64(bits - 1)).astype(np.int64), minlength=size * bits) & 1
                 sketch = np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(size, SKETCH_WORDS)
                 keys = [_sums(text, _mix(grams, by), size).view(np.int64) for by in (_A, _B)]
-                columns = [batch.column(0).slice(a, size), pa.array(np.bincount(text, minlength=size)), *map(pa.array, keys)]
+                sizes = np.bincount(text, minlength=size)
+                ends = np.cumsum(sizes)
+                wide = [wide_sketch(grams[e - c : e]) if c > WIDE else None for c, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
+                columns = [batch.column(0).slice(a, size), pa.array(sizes), *map(pa.array, keys)]
                 columns += [pa.array(np.ascontiguousarray(sketch[:, i])) for i in range(SKETCH_WORDS)]
-                yield pa.RecordBatch.from_arrays(columns, names=SETS.names)
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(wide, pa.binary()), pa.nulls(size, pa.list_(pa.int64()))], schema=_SETS_ARROW)
+                used = new(keys[0])[text]
+                for _, _, _, sig in signatures(text[used], grams[used], np.bincount(text[used], minlength=size), bands.value, last=False):
+                    counts += np.bincount(_counter(sig), minlength=COUNTERS)
+        yield pa.RecordBatch.from_pylist([{"counts": counts.tolist()}], schema=_SETS_ARROW)
 
     return run
 
 
-#: Sets that a task remembers having indexed; a copy beyond them is indexed again, which does no harm.
-SEEN = 1_000_000
-
-
-def _index(bands: Shared, n: int):
-    """(band, segment, signature, k1) of the sets; a set that a task meets again is not indexed again."""
+def _index(bands: Shared, n: int, level: int, heavy: Shared):
+    """(place, signature, k1) of the sets, and (-1, k1, k1) of unsafe ones; a set that a task meets again is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        new, last = _New(), level == LEVELS - 1
+        row = lambda place, sig, k1: pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(sig, pa.int64()), pa.array(k1, pa.int64())], names=["place", "sig", "k1"])
         for batch in batches:
             texts = _texts(batch)
             for a, b in chunks(texts, CHUNK_BYTES):
                 text, grams = shingle_sets(texts[a:b], n)
                 key = _sums(text, _mix(grams, _A), b - a).view(np.int64)
-                new = np.zeros(b - a, bool)
-                for i, k in enumerate(key.tolist()):
-                    if k not in seen:
-                        new[i] = True
-                        seen.add(k)
-                if len(seen) > SEEN:
-                    seen.clear()
-                used = new[text]
+                used = new(key)[text]
                 text, grams = text[used], grams[used]
-                sizes = np.bincount(text, minlength=b - a)
-                for band, who, segment, sig in signatures(text, grams, sizes, bands.value):
-                    columns = [np.full(len(who), band, np.int32), segment.astype(np.int32), sig.view(np.int64), key[who]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["band", "segment", "sig", "k1"])
+                sizes, unsafe = np.bincount(text, minlength=b - a), np.zeros(b - a, bool)
+                for _, who, place, sig in signatures(text, grams, sizes, bands.value, level, heavy.value, last, unsafe):
+                    yield row(place, sig.view(np.int64), key[who])
+                if unsafe.any() and not last:
+                    yield row(np.full(int(unsafe.sum()), -1), key[unsafe], key[unsafe])
 
     return run
 
@@ -250,26 +342,46 @@ def _verify(percent: int, n: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, n: int) -> DataFrame:
-    """Of `pairs` (a, b) those that link; only the texts that occur in pairs are moved."""
-    wanted = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-    texts = docs.join(wanted, "doc").groupBy("doc").agg(F.first("text").alias("text"))
-    texts = cut(texts)
-    full = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
-    full = full.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-    return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(percent, n), "a long, b long")
+def _thin(percent: int):
+    """Of (a, b, na, nb, wide sketches) those whose sketches allow a link."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            kept = pa.array([u is None or v is None or wide_apart(u, v) * (100 + percent) <= (m + n) * (100 - percent) for m, n, u, v in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(kept), batch.column(1).filter(kept)], names=["a", "b"])
+
+    return run
 
-def _groups(docs: DataFrame, bands: Bands, n: int) -> DataFrame:
-    """(band, segment, sig, k1, before) of the signatures that several sets share; `before`: sets of the group before it.
 
-    One shuffle by signature; duplicates and lonely signatures go in passing over the sorted rows.
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, n: int, kept: Tables) -> DataFrame:
+    """Of `pairs` (a, b) those that link; only the texts that occur in pairs are moved.
+
+    A star's centre `a` is sent to PARTS parts of its star at most, so a hot centre is not one task's.
     """
-    rows = docs.mapInArrow(_index(Shared(docs.sparkSession, bands), n), "band int, segment int, sig long, k1 long")
-    order = Window.partitionBy("sig").orderBy("k1")
-    own = rows.repartition("sig").withColumn("last", F.lag("k1").over(order)).where("last is null or last <> k1")
-    near = own.withColumns({"before": F.row_number().over(order) - 1, "next": F.lead("k1").over(order)})
-    return cut(near.where("before > 0 or next is not null").select("band", "segment", "sig", "k1", "before"))
+    parted = cut(pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(PARTS)).alias("part")))
+    centres = parted.select("a", "part").distinct()
+    wanted = cut(centres.select(F.col("a").alias("doc")).unionByName(parted.select(F.col("b").alias("doc"))).distinct())
+    found = docs.join(few(wanted), "doc").select("doc", "text")
+    texts = kept.keep(found.groupBy("doc").agg(F.min("text").alias("text")), "texts")
+    one = centres.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
+    two = parted.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
+    return one.join(two, ["a", "part"]).select("a", "b", "text_a", "text_b").mapInArrow(_verify(percent, n), "a long, b long")
+
+
+def _groups(docs: DataFrame, bands: Bands, n: int, level: int, heavy: np.ndarray | None) -> DataFrame:
+    """(place, sig, k1, head, before, members) of the signatures that several sets share; unsafe sets have the place -1.
+
+    `before`: sets of the group before this one, the first of which is `head`. One shuffle by signature; duplicates and
+    lonely signatures go in passing over the sorted rows.
+    """
+    spark = docs.sparkSession
+    rows = docs.mapInArrow(_index(Shared(spark, bands), n, level, Shared(spark, heavy)), "place long, sig long, k1 long")
+    same, order = Window.partitionBy("sig"), Window.partitionBy("sig").orderBy("k1")
+    own = rows.repartition("sig").withColumn("last", F.lag("k1").over(order)).where("last is null or last <> k1 or place < 0")
+    near = own.withColumns({"before": F.row_number().over(order) - 1, "next": F.lead("k1").over(order), "head": F.first("k1").over(order)})
+    near = near.where("before > 0 or next is not null or place < 0")
+    return cut(near.withColumn("members", F.count("*").over(same)).select("place", "sig", "k1", "head", "before", "members"))
 
 
 def _close(one: str, two: str, percent: int):
@@ -279,57 +391,128 @@ def _close(one: str, two: str, percent: int):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (bits * (100 + percent) <= (a + b) * (100 - percent))
 
 
+class _Join:
+    """The steps of link() and what they share."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, n: int, percent: int):
+        self.n, self.percent, self.kept = n, percent, Tables(docs.sparkSession)
+        self.docs = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+        self.bands = Bands(percent)
+        described = self.kept.keep(self.docs.mapInArrow(_describe(n, Shared(docs.sparkSession, self.bands)), SETS), "sets")
+        self.sets = described.where("n is not null").drop("counts")
+        counted = described.where("n is null").select(F.posexplode("counts").alias("i", "c")).groupBy("i").agg(F.sum("c").alias("c")).collect()
+        rows = np.zeros(COUNTERS)
+        rows[[r.i for r in counted]] = [r.c for r in counted]
+        self.heavy = rows > max(float(HEAVY), rows.sum() / HEAVY)
+        sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
+        self.node = F.struct("rep", "n", *sketch)
+        grouped = self.sets.where("n > 0").groupBy("k1", "k2", "n")
+        self.classes = cut(grouped.agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), *[F.max(c).alias(c) for c in sketch]))
+        self.links = self.label = self.tried = None
+
+    def allocated(self, groups: DataFrame) -> bool:
+        """Sets budgets by cost; only segments that cost more than another's deletions are looked at."""
+        low = F.array(*[F.lit(x) for x in self._lows()])
+        own = F.size(F.filter(low, lambda x: x <= F.col("n"))) - 1
+        totals: dict[int, tuple[int, int]] = defaultdict(lambda: (0, 0))
+        for r in self.classes.groupBy(own.alias("band")).agg(F.count("*").alias("c"), F.sum("n").alias("n")).collect():
+            for band in self.bands.of(self.bands.low[r.band]):
+                totals[band] = totals[band][0] + r.c, totals[band][1] + r.n
+        least = [(band, ROW_COST * n / len(self.bands.budget(band))) for band, (_, n) in totals.items() if self.bands.difference(band)]
+        if not least:
+            return False
+        limits = F.broadcast(groups.sparkSession.createDataFrame(least, "band int, least double"))  # a row a band
+        costly = groups.where("place >= 0").groupBy(_placed("band"), _placed("segment")).agg(F.sum("before").alias("pairs"))
+        costs: dict[int, dict[int, float]] = defaultdict(dict)
+        for r in costly.join(limits, "band").where("pairs > least").collect():
+            costs[r.band][r.segment] = float(r.pairs)
+        return bool(allocate(self.bands, costs, totals).budgets)
+
+    def _lows(self) -> list[int]:
+        most = self.classes.agg(F.max("n")).first()[0] or 1
+        self.bands.of(most)
+        return self.bands.low
+
+    def check(self, candidates: DataFrame) -> None:
+        """Verifies pairs of classes (x, y), adds their links and works out the components."""
+        near = candidates.where(_close("x", "y", self.percent))
+        near = near.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).distinct()
+        if self.tried is not None:
+            near = near.join(self.tried, ["a", "b"], "left_anti")
+        near = cut(near)
+        wide = self.sets.where(f"n > {WIDE}").select("doc", "wide")
+        small, large = near.where(f"m <= {WIDE} or n <= {WIDE}").select("a", "b"), near.where(f"m > {WIDE} and n > {WIDE}")
+        large = large.join(wide.select(F.col("doc").alias("a"), F.col("wide").alias("u")), "a").join(wide.select(F.col("doc").alias("b"), F.col("wide").alias("v")), "b")
+        large = large.select("a", "b", "m", "n", "u", "v").mapInArrow(_thin(self.percent), "a long, b long").distinct()
+        pairs = cut(small.unionByName(large))
+        self.tried = near.select("a", "b") if self.tried is None else self.tried.unionByName(near.select("a", "b"))
+        if pairs.isEmpty():
+            return
+        found = cut(verified(pairs, self.docs, self.percent, self.n, self.kept))
+        self.links = found if self.links is None else self.links.unionByName(found)
+        self.label = cut(components(self.links))
+
+    def sides(self, pairs: DataFrame) -> DataFrame:
+        """(x, y): classes of pairs of set hashes (k, l)."""
+        one = self.classes.where("rep is not null").select(F.col("k1").alias("k"), self.node.alias("x"))
+        two = one.select(F.col("k").alias("l"), F.col("x").alias("y"))
+        return pairs.join(one, "k").join(two, "l").select("x", "y").where("x.rep <> y.rep")
+
+    def mixed(self, groups: DataFrame) -> DataFrame:
+        """(place, sig, k1, label, members) of the groups that hold several components."""
+        own = self.classes.select("k1", "rep")
+        if self.label is not None:
+            own = own.join(self.label.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
+        known = groups.where("place >= 0").join(own.select("k1", F.col("rep").alias("label")), "k1")
+        bounds = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+        return cut(known.join(bounds, "sig").select("place", "sig", "k1", "label", "members"))
+
+    def run(self) -> None:
+        docs, left = self.docs, []
+        for level in range(LEVELS):
+            heavy = self.heavy if level == 0 else None
+            groups = _groups(docs, self.bands, self.n, level, heavy)
+            if level == 0 and self.allocated(groups):
+                groups = _groups(docs, self.bands, self.n, level, heavy)
+            self.check(self.sides(groups.where("head <> k1 and place >= 0").select(F.col("head").alias("k"), F.col("k1").alias("l")).distinct()))
+            mixed = self.mixed(groups)
+            if level == LEVELS - 1:
+                left.append(mixed)
+                break
+            left.append(mixed.where(f"members <= {CROWD}"))
+            crowded = mixed.where(f"members > {CROWD}").select("k1", _placed("band"), _placed("segment"), _placed("v"), _placed("room")).distinct()
+            crowded = crowded.groupBy("k1", "band").agg(F.sum("v").alias("v"), F.min("room").alias("room")).where("v > room").select("k1")
+            again = cut(crowded.unionByName(groups.where("place < 0").select("k1")).distinct())
+            reps = cut(again.join(self.classes.select("k1", "rep"), "k1").select(F.col("rep").alias("doc")).distinct())
+            if reps.isEmpty():
+                break
+            docs = self.docs.join(few(reps), "doc").select("doc", "text")
+        pairs = None
+        for groups in left:
+            one, two = groups.select("sig", "k1", "label").alias("one"), groups.select("sig", "k1", "label").alias("two")
+            met = one.join(two, F.col("one.sig") == F.col("two.sig")).where("one.label < two.label").select(F.col("one.k1").alias("k"), F.col("two.k1").alias("l"))
+            pairs = met if pairs is None else pairs.unionByName(met)
+        self.check(self.sides(pairs.distinct()))
+
+
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """(`key`, n_shingles, component_id) of every document; `key` is a whole number."""
-    spark = docs.sparkSession
-    own = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
-    sets = cut(own.mapInArrow(_describe(n), SETS))
-    sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    classes = cut(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc").alias("rep"), *[F.max(c).alias(c) for c in sketch]))
-
-    bands = Bands(percent)
-    groups = _groups(own, bands, n)
-    costs: dict[int, dict[int, float]] = defaultdict(dict)
-    for r in groups.groupBy("band", "segment").agg(F.sum("before").alias("pairs")).collect():
-        costs[r.band][r.segment] = float(r.pairs)
-    totals: dict[int, tuple[int, int]] = defaultdict(lambda: (0, 0))
-    for r in classes.groupBy("n").agg(F.count("*").alias("c")).collect():
-        for band in bands.of(r.n):
-            totals[band] = totals[band][0] + r.c, totals[band][1] + r.c * r.n
-    if allocate(bands, costs, totals).budgets:
-        groups = _groups(own, bands, n)
-
-    node = F.struct("rep", "n", *sketch)
-    members = cut(groups.select("sig", "k1").join(classes.select("k1", node.alias("own")), "k1").select("sig", "own"))
-    leader = F.first("own").over(Window.partitionBy("sig").orderBy("own.rep"))
-    stars = members.withColumn("head", leader).where((F.col("head.rep") < F.col("own.rep")) & _close("head", "own", percent))
-    stars = cut(stars.select(F.col("head.rep").alias("a"), F.col("own.rep").alias("b")).distinct())
-    links = cut(verified(stars, own, percent, n))
-    label = cut(components(links))
-
-    known = members.join(label.select(F.col("node").alias("rep"), "component"), F.col("own.rep") == F.col("rep"), "left")
-    known = known.select("sig", "own", F.coalesce("component", "own.rep").alias("label"))
-    order = Window.partitionBy("sig").orderBy("label", "own.rep")
-    mixed = known.withColumns({"least": F.first("label").over(order), "most": F.last("label").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
-    mixed = cut(mixed.where("least <> most").select("sig", "own", "label"))
-    one, two = mixed.select("sig", F.col("own").alias("x"), F.col("label").alias("lx")), mixed.select("sig", F.col("own").alias("y"), F.col("label").alias("ly"))
-    rest = one.join(two, "sig").where((F.col("x.rep") < F.col("y.rep")) & (F.col("lx") != F.col("ly")) & _close("x", "y", percent))
-    rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    rest = cut(rest)
-    if not rest.isEmpty():
-        links = links.unionByName(verified(rest, own, percent, n))
-        label = cut(components(links))
-
-    placed = classes.select("k1", "k2", "n", "rep").join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    placed = placed.select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
-    out = sets.select("doc", "n", "k1", "k2").join(placed, ["k1", "k2", "n"], "left")
+    join = _Join(docs, key, text, n, percent)
+    join.run()
+    placed = join.classes.select("k1", "k2", "n", "copies", F.col("rep").alias("component_id"))
+    if join.label is not None:
+        placed = placed.join(join.label.select(F.col("node").alias("component_id"), "component"), "component_id", "left")
+        placed = placed.select("k1", "k2", "n", "copies", F.coalesce("component", "component_id").alias("component_id"))
+    out = cut(hot_join(join.sets.select("doc", "n", "k1", "k2"), placed, ["k1", "k2", "n"], "copies"))
+    join.kept.drop()
     return out.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
     """The document of the smallest key of every component, with its own columns; documents without a key stay."""
-    gone = link(docs.where(F.col(key).isNotNull()), key, text, n, percent).where(F.col("component_id") != F.col(key)).select(F.col(key).alias("__gone")).distinct()
-    return docs.join(gone, docs[key] == F.col("__gone"), "left_anti")
+    linked = link(docs.where(F.col(key).isNotNull()), key, text, n, percent)
+    gone = cut(linked.where(F.col("component_id") != F.col(key)).select(F.col(key).alias("__gone")).distinct())
+    return docs.join(few(gone), docs[key] == F.col("__gone"), "left_anti")
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

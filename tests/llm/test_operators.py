@@ -198,7 +198,7 @@ def test_budgets_keep_every_pair():
     band = bands.of(40)[0]
     ngram_join.allocate(bands, {band: {0: 1e9, 1: 1e9}}, {band: (10, 400)})
     budget = bands.budget(band)
-    assert budget.sum() == bands.difference(band) + 1 and set(budget.tolist()) <= {0, 1, 2} and budget[0] == 0
+    assert budget.sum() == bands.difference(band) + 1 + bands.reserve(band) and set(budget.tolist()) <= {0, 1, 2} and budget[0] == 0
     rng = random.Random(6)
     for _ in range(40):
         words = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([40, 41, 42]))]
@@ -213,6 +213,55 @@ def test_budgets_keep_every_pair():
         assert sigs[0] & sigs[1]
 
 
+@pytest.mark.parametrize("doubled", [False, True])
+def test_left_out_signatures_lose_no_pair(doubled):
+    """In some division two linked sets share a signature that is used, whatever is left out as heavy."""
+    rng = random.Random(9)
+    bands = ngram_join.Bands(80)
+    for size in range(3, 60):
+        words = [f"w{rng.randrange(30)}" for _ in range(size)]
+        other = words[: size - 1] + ["changed"]
+        text, grams = ngram_join.shingle_sets([" ".join(words).encode(), " ".join(other).encode()])
+        sizes = np.bincount(text, minlength=2)
+        one, two = (set(grams[text == i].tolist()) for i in (0, 1))
+        if 100 * len(one & two) < 80 * len(one | two):
+            continue
+        if doubled:
+            for band in bands.of(int(sizes.max())):
+                if bands.difference(band):
+                    ngram_join.allocate(bands, {band: {0: 1e9}}, {band: (10, 100)})
+        for share in (0.0, 0.3, 0.9):
+            heavy = np.random.default_rng(size).random(ngram_join.COUNTERS) < share
+            met, going = False, {0, 1}
+            for level in range(ngram_join.LEVELS):
+                unsafe, sigs = np.zeros(2, bool), [set(), set()]
+                last = level == ngram_join.LEVELS - 1
+                for _, who, _, sig in ngram_join.signatures(text, grams, sizes, bands, level, heavy, last, unsafe):
+                    for w, x in zip(who.tolist(), sig.tolist(), strict=True):
+                        if w in going:
+                            sigs[w].add(x)
+                met |= bool(sigs[0] & sigs[1])
+                going &= set(np.flatnonzero(unsafe).tolist())
+            assert met
+
+
+def test_wide_sketches_bound_the_difference():
+    rng = np.random.default_rng(4)
+    for n, k in ((5, 3), (900, 40), (1500, 700), (2100, 0)):
+        grams = rng.integers(0, 2**63, n + 2 * k).astype(np.uint64)
+        one, two = grams[: n + k], np.concatenate([grams[:n], grams[n + k :]])
+        assert ngram_join.wide_apart(ngram_join.wide_sketch(one), ngram_join.wide_sketch(two[: n + k // 2])) <= k + k // 2
+
+
+def test_hot_keys_and_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    monkeypatch.setattr(common, "HOT_KEYS", 4)
+    monkeypatch.setattr(common, "FEW_ROWS", 3)
+    links = [(0, i) for i in range(1, 60)] + [(i, 100 + i) for i in range(1, 60, 2)] + [(300, 301)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {n: (300 if n >= 300 else 0) for pair in links for n in pair}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (200, 201), (5, 5), (None, 1)] + [(300, 301 + i) for i in range(50)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

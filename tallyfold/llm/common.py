@@ -61,8 +61,8 @@ def few(df: DataFrame, most: int = FEW_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def hot_join(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str) -> DataFrame:
-    """Left join of `rows` with `keyed`, unique by `on`, where the column `copies` tells how many rows a key has.
+def hot_join(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str, how: str = "left") -> DataFrame:
+    """Left or inner join of `rows` with `keyed`, unique by `on`, where the column `copies` tells how many rows a key has.
 
     Hot keys are broadcast, fewer than HOT_KEYS of them, so that no task gets all rows of one; the others are shuffled.
     Both sides are read several times: hand over materialised ones.
@@ -70,7 +70,7 @@ def hot_join(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str) -> D
     limit = max(HOT_ROWS, (keyed.agg(F.sum(copies)).first()[0] or 0) // HOT_KEYS)
     hot = F.broadcast(keyed.where(F.col(copies) > limit).drop(copies))
     cold = keyed.where(F.col(copies) <= limit).drop(copies)
-    return rows.join(hot, on).unionByName(rows.join(hot, on, "left_anti").join(cold, on, "left"))
+    return rows.join(hot, on).unionByName(rows.join(hot, on, "left_anti").join(cold, on, how))
 
 
 def words_lower(column):

@@ -11,36 +11,45 @@ filter); sizes must be compatible (length filter), what follows the shared word
 filter), and 64-bit odd sketches, whose differing bits are a lower bound of the sets' difference, must allow it.
 Candidates are verified on the words themselves.
 
-Equal sets are one class from the start. Classes are first compared with the earliest one that begins, or ends, with the
-same words; most near copies find an earlier match there and look no further. All others are joined with all earlier
-classes by the filters above. So no group of copies is expanded into its pairs, and no match is lost.
+Equal sets are one class from the start. Classes are first compared with the earliest one that has the same words at its
+begin, middle or end; most near copies find an earlier match there and look no further. All others are joined with all
+earlier classes by the filters above, so no match is lost, and the pairs of a group of near copies are at most those of
+the members that changed at all three places. Keys with many lines are broadcast (a bounded number), not one task's.
+
+Words travel as 64-bit hashes; lines are told apart by 128 bits of them, and similarities are those of the hash sets.
 
 Defined cases: a null text stays null; empty lines and lines of white space have no words and stay; documents without an
-id stay as they are; rows with the same id count as one document; sets of less than four words match only
-equal ones, which follows from the threshold; an empty table gives an empty table; other columns are untouched.
+id stay as they are; rows with the same id and text are one document, given several times, and come out alike; different
+texts of one id are different documents, in the order of the id, then of a hash of the text; sets of less than four
+words match only equal ones, which follows from the threshold; an empty table gives an empty table; other columns are
+untouched, but with `counts` the columns n_lines and n_removed replace those of the input.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Tables, cut
+from .common import Tables, cut, few, hot_join
+from .sharding import numbered
 
 #: The threshold is NUM / DEN.
 NUM, DEN = 4, 5
 #: Entries of the table of counts: a constant, however large the corpus is.
 BUCKETS = 1 << 18
 _PART = 1 << 10
-#: Words at either end of a line under which copies find an earlier line first.
+#: Words at the begin, in the middle and at the end of a line under which copies find an earlier line first.
 ENDS = 6
+#: Line numbers of the k-th further text of an id start at k times this.
+_TEXT = 1 << 32
 #: (document, line) entries that may be broadcast (about 30 bytes each); more are joined by shuffles.
 BROADCAST_LINES = 2_000_000
 
 
 def plain(text: Column) -> Column:
     """The text with all blanks but line ends made spaces, as splitting at one character is cheap; most texts stay as they are."""
-    return F.when(F.rlike(text, F.lit(r"[\t\r\x0b\x0c]")), F.regexp_replace(text, r"[\t\r\x0b\x0c]", " ")).otherwise(text)
+    odd = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\r")) | F.contains(text, F.lit("\x0b")) | F.contains(text, F.lit("\x0c"))
+    return F.when(odd, F.regexp_replace(text, r"[\t\r\x0b\x0c]", " ")).otherwise(text)
 
 
 def words_of(line: Column) -> Column:
@@ -48,9 +57,9 @@ def words_of(line: Column) -> Column:
     return F.split(F.lower(line), " ")
 
 
-def words_in(line: Column) -> Column:
-    """The set of the words of a plain() line."""
-    return F.array_distinct(F.array_remove(words_of(line), ""))
+def hashes_of(line: Column) -> Column:
+    """The hashes of the words of a plain() line, in order."""
+    return F.array_remove(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
 def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> str:
@@ -71,7 +80,7 @@ def _bucket(h: Column, buckets: int) -> Column:
 def codes_of(hashes: Column, levels: str, buckets: int) -> Column:
     """Hashes of words as numbers in order of rarity: the class in the highest byte, 56 bits of the hash below."""
     known = F.split(F.lit(levels), ",").cast("array<tinyint>")  # a constant, folded once
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(known, _bucket(h, buckets)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(known, _bucket(h, buckets)).cast("long"), F.lit(0).cast("long")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -101,42 +110,64 @@ def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
     """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match; only the lines in pairs are moved."""
     ends = cut(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct())
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
-    lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "wanted", F.split("text", "\n", -1).alias("lines"))
-    lines = lines.select("doc", F.explode(F.transform("wanted", lambda i: F.struct(i.alias("line"), F.get("lines", i).alias("text")))).alias("x"))
-    sets = kept.keep(lines.select("doc", "x.line", words_in(F.col("x.text")).alias("words")), "sets")
+    lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "base", "wanted", F.split("text", "\n", -1).alias("lines"))
+    # a text of a repeated id has only the lines of its own range
+    lines = lines.select("doc", "base", "lines", F.explode("wanted").alias("line")).where(F.col("line").between(F.col("base"), F.col("base") + _TEXT - 1))
+    lines = lines.select("doc", "line", F.get("lines", (F.col("line") - F.col("base")).cast("int")).alias("text"))
+    sets = kept.keep(lines.select("doc", "line", F.array_distinct(hashes_of(F.col("text"))).alias("words")).dropDuplicates(["doc", "line"]), "sets")
     own = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("words2")), ["doc2", "line2"])
     both = F.size(F.array_intersect("words", "words2"))
     return own.where(both * DEN >= NUM * (F.size("words") + F.size("words2") - both)).select("doc", "line").distinct()
 
 
+def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """`docs` with `doc` and `base`, the number of the first line: 0, and more for further texts of an id."""
+    own = docs.withColumns({"doc": F.col(key), "__hash": F.xxhash64(text)})
+    several = own.where(F.col("doc").isNotNull() & F.col(text).isNotNull()).groupBy("doc").agg(F.min("__hash").alias("low"), F.max("__hash").alias("high"), F.count("*").alias("copies")).where("low <> high")
+    several = cut(several.select("doc", "copies"))
+    if several.isEmpty():
+        return own.withColumn("base", F.lit(0).cast("long")).drop("__hash")
+    texts = cut(own.join(few(several), "doc").select("doc", "__hash").distinct())
+    ranked = cut(numbered(texts, ["doc"], ["__hash"], texts.count(), "rank").select("doc", "__hash", "rank"))
+    return own.join(few(ranked), ["doc", "__hash"], "left").withColumn("base", F.coalesce(F.col("rank") * _TEXT, F.lit(0).cast("long"))).drop("__hash", "rank")
+
+
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
-    """(doc, line) of all lines that go; lines are counted from 0."""
-    own = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("doc"), plain(F.col(text).cast("string")).alias("text"))
+    """(doc, line) of all lines that go; lines are counted from 0, those of further texts of an id from `base`."""
+    return _removed(identified(docs.select(key, text), key, text).select("doc", "base", F.col(text).alias("text")), buckets)
+
+
+def _removed(docs: DataFrame, buckets: int) -> DataFrame:
+    own = docs.where("doc is not null and text is not null").select("doc", "base", plain(F.col("text").cast("string")).alias("text"))
     levels = rarity(own, "text", buckets)
-    split = own.select("doc", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).select("doc", "line", words_of(F.col("text")).alias("words"))
-    hashed = split.select("doc", "line", F.array_remove(F.transform("words", lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))).alias("h"))
-    ends = {"head": F.xxhash64(F.slice("h", 1, ENDS)), "tail": F.xxhash64(F.slice(F.col("h"), F.greatest(F.size("h") - (ENDS - 1), F.lit(1)), ENDS))}
-    coded = hashed.select("doc", "line", *[c.alias(k) for k, c in ends.items()], F.array_distinct("h").alias("h"))
-    coded = coded.select("doc", "line", "head", "tail", codes_of(F.col("h"), levels, buckets).alias("codes"))
+    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).select("doc", (F.col("base") + F.col("at")).alias("line"), hashes_of(F.col("text")).alias("h"))
+    middle = F.greatest(F.floor((F.size("h") - ENDS) / 2).cast("int") + 1, F.lit(1))
+    ends = {"head": F.lit(1), "middle": middle, "tail": F.greatest(F.size("h") - (ENDS - 1), F.lit(1))}
+    ends = [F.xxhash64(F.lit(i), F.slice("h", at, F.lit(ENDS))).alias(k) for i, (k, at) in enumerate(ends.items())]
+    coded = split.where(F.size("h") > 0).select("doc", "line", *ends, codes_of(F.array_distinct("h"), levels, buckets).alias("codes"))
     n = F.size("codes")
     odd = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(_bit(c)))
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
-    lines = coded.where(n > 0).select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), "head", "tail", prefix.alias("prefix"))
     kept = Tables(docs.sparkSession)
-    lines = kept.keep(lines, "lines")
-
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "line", "n", "odd", "head", "tail", "prefix")).alias("x"))
-    classes = kept.keep(first.select("h1", "h2", "x.*"), "classes")
-
-    row = F.struct("doc", "line", "n", "odd")
-    ends = classes.where("n >= 4").select(row.alias("own"), F.explode(F.array(F.xxhash64(F.lit(0), "head"), F.xxhash64(F.lit(1), "tail"))).alias("end"))
-    led = ends.withColumn("lead", F.first("own").over(Window.partitionBy("end").orderBy("own.doc", "own.line")))
+    lines = kept.keep(coded.select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), *[k for k in ("head", "middle", "tail")], prefix.alias("prefix")), "lines")
+
+    # equal sets: all but the first go; the first stands for its class
+    place = F.struct("doc", "line")
+    repeated = cut(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1"))
+    again = hot_join(lines.select("doc", "line", "h1", "h2"), repeated, ["h1", "h2"], "copies", "inner")
+    again = cut(again.where(F.col("first") != place).select("doc", "line"))
+    classes = lines.where("n >= 4").join(few(again, BROADCAST_LINES), ["doc", "line"], "left_anti")
+
+    row = ["doc", "line", "n", "odd"]
+    ends = classes.select(*row, F.explode(F.array("head", "middle", "tail")).alias("end"))
+    leads = cut(ends.groupBy("end").agg(F.min(F.struct(*row)).alias("lead"), F.count("*").alias("copies")).where("copies > 1"))
+    led = hot_join(ends, leads, ["end"], "copies", "inner").select(F.struct(*row).alias("own"), "lead")
     stars = led.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
     stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2")).distinct())
     matched = cut(_verified(stars, own, kept))
 
     done = matched.withColumn("done", F.lit(True))
-    flagged = classes.where("n >= 4").join(F.broadcast(done) if matched.count() <= BROADCAST_LINES else done, ["doc", "line"], "left")
+    flagged = classes.join(few(done, BROADCAST_LINES), ["doc", "line"], "left")
     # a class that has its match gets a negative size, which lets it be found but not look any further; that test is part
     # of the length filter, which sees both sides, so that one shuffle serves both
     rows = flagged.select("doc", "line", F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n"), "odd", F.posexplode("prefix").alias("p", "code"))
@@ -144,12 +175,8 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") < F.col("x.line")))
     met = x.join(y, F.col("x.code") == F.col("y.code")).where(_allowed("x", "y") & _enough("x", "y") & earlier)
     met = met.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).distinct()
-    met = cut(met.join(stars, ["doc", "line", "doc2", "line2"], "left_anti"))
-    matched = matched.unionByName(_verified(met, own, kept)).distinct()
-
-    again = lines.select("doc", "line", "h1", "h2").join(classes.select("h1", "h2", F.col("doc").alias("doc2"), F.col("line").alias("line2")), ["h1", "h2"])
-    again = again.where("doc <> doc2 or line <> line2").select("doc", "line")
-    out = cut(again.unionByName(matched).distinct())
+    met = cut(met.join(few(stars, BROADCAST_LINES), ["doc", "line", "doc2", "line2"], "left_anti"))
+    out = cut(again.unionByName(matched).unionByName(_verified(met, own, kept)).distinct())
     kept.drop()
     return out
 
@@ -160,18 +187,22 @@ def _bit(c: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """`docs` without the lines that go; with `counts` also n_lines and n_removed."""
-    gone = removed_lines(docs, key, text, buckets)
-    per_doc = gone.groupBy("doc").agg(F.collect_set("line").alias("__gone"))
     names = [f"__{i}" for i in range(len(docs.columns))]
-    own = docs.toDF(*names).withColumn("doc", F.col(names[docs.columns.index(key)]))
-    joined = _joined(own, per_doc, gone.count(), "left").withColumn("__lines", F.split(F.col(names[docs.columns.index(text)]), "\n", -1))
+    old = names[docs.columns.index(text)]
+    own = identified(docs.toDF(*names), names[docs.columns.index(key)], old)
+    gone = _removed(own.select("doc", "base", F.col(old).alias("text")), buckets)
+    per_doc = gone.groupBy("doc").agg(F.collect_set("line").alias("__all"))
+    joined = _joined(own, per_doc, gone.count(), "left").withColumn("__lines", F.split(old, "\n", -1))
+    mine = F.filter("__all", lambda i: (i >= F.col("base")) & (i < F.col("base") + _TEXT))
+    joined = joined.withColumn("__gone", F.transform(mine, lambda i: (i - F.col("base")).cast("int")))
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
     left = F.array_join(F.transform(kept, lambda i: F.get("__lines", i)), "\n")
-    old = F.col(names[docs.columns.index(text)])
-    columns = [(F.when(F.col("__gone").isNull(), old).otherwise(left) if c == text else F.col(n)).alias(c) for n, c in zip(names, docs.columns, strict=True)]
+    intact = F.col("__gone").isNull() | (F.size("__gone") == 0) | F.col(old).isNull()
+    added = {}
     if counts:
-        columns += [F.when(old.isNull(), 0).otherwise(F.size("__lines")).cast("long").alias("n_lines"), F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long").alias("n_removed")]
-    return joined.select(*columns)
+        added = {"n_lines": F.when(F.col(old).isNull(), 0).otherwise(F.size("__lines")).cast("long"), "n_removed": F.when(intact, 0).otherwise(F.size("__gone")).cast("long")}
+    columns = [(F.when(intact, F.col(old)).otherwise(left) if c == text else F.col(n)).alias(c) for n, c in zip(names, docs.columns, strict=True) if c not in added]
+    return joined.select(*columns, *[c.alias(k) for k, c in added.items()])
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,6 +70,21 @@ def test_line_dedup_without_an_id(spark):
     assert {(r.doc_id, r.text) for r in line_dedup.dedup_lines(df, buckets=1 << 10).collect()} == {(None, "a b c d\na b c d"), (1, "a b c d")}
 
 
+def test_line_dedup_of_a_repeated_id(spark, monkeypatch):
+    """Different texts of an id are different documents; the same text twice is one."""
+    monkeypatch.setattr(common, "HOT_ROWS", 1)
+    monkeypatch.setattr(common, "HOT_KEYS", 1)
+    texts = ["a b c d\nkeep me please now", "zzz yyy xxx www\na b c d", "zzz yyy xxx www\na b c d", "another line of words here\nb c a d"]
+    rows = [(1, t, 7, 8) for t in texts] + [(2, "keep me please now\nstays as it is", 7, 8)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, n_lines int, h1 int"), counts=True, buckets=1 << 10)
+    assert got.columns == ["doc_id", "text", "h1", "n_lines", "n_removed"]
+    found = sorted((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect())
+    distinct = sorted({t for t in texts}, key=lambda t: spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0])
+    want = dict(zip(distinct, naive_dedup(distinct), strict=True))
+    assert [x[:2] for x in found] == sorted([(1, want[t]) for t in texts] + [(2, "stays as it is")])
+    assert all(n == 2 and k == 2 - len(t.split("\n")) for _, t, n, k in found if t)
+
+
 # 2 fingerprints
 
 def shingles(text):

@@ -65,7 +65,7 @@ def hashes_of(line: Column) -> Column:
 def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> str:
     """For each bucket of word hashes, separated by commas: 1 + 4 log2 of the count of its words, at most 126."""
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
-    counts = words.groupBy(_bucket(F.xxhash64("w"), buckets).alias("id")).agg(F.count("*").alias("c"))
+    counts = words.groupBy(_bucket(F.col("w"), buckets).alias("id")).agg(F.count("*").alias("c"))
     level = F.least(F.lit(126), 1 + F.floor(4 * F.log2(F.coalesce("c", F.lit(1)))).cast("int"))
     spelt = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("id")).join(counts, "id", "left").select("id", level.cast("string").alias("x"))
     parts = spelt.groupBy(F.floor(F.col("id") / _PART).alias("part")).agg(F.sort_array(F.collect_list(F.struct("id", "x"))).alias("xs"))
@@ -73,14 +73,29 @@ def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> str:
     return ",".join(r["levels"] for r in sorted(rows, key=lambda r: r["part"]))
 
 
-def _bucket(h: Column, buckets: int) -> Column:
-    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
+def _bucket(word: Column, buckets: int) -> Column:
+    return F.hash(word).bitwiseAND(F.lit(buckets - 1))
 
 
-def codes_of(hashes: Column, levels: str, buckets: int) -> Column:
-    """Hashes of words as numbers in order of rarity: the class in the highest byte, 56 bits of the hash below."""
+def codes_of(words: Column, levels: str, buckets: int) -> Column:
+    """Words as numbers that sort by rarity: the class in the highest byte, 56 bits of a hash below."""
     known = F.split(F.lit(levels), ",").cast("array<tinyint>")  # a constant, folded once
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.coalesce(F.get(known, _bucket(h, buckets)).cast("long"), F.lit(0).cast("long")), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    code = lambda w: F.shiftleft(F.coalesce(F.get(known, _bucket(w, buckets)).cast("long"), F.lit(0).cast("long")), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
+    return F.array_remove(F.transform(words, code), code(F.lit("")))
+
+
+#: The numbers of one bit each: a lookup is cheaper than a shift, which is not compiled here.
+_BITS = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
+
+
+def odd_sketch(codes: Column, part: int | None = None) -> Column:
+    """64 bits, each the parity of the codes that fall on it; with `part` only the codes of that quarter of the universe."""
+    bits = F.array(*[F.lit(b).cast("long") for b in _BITS])
+    bit = lambda c: F.get(bits, c.bitwiseAND(F.lit(63)).cast("int"))
+    if part is not None:
+        whole = bit
+        bit = lambda c: F.when(F.shiftright(c, 6).bitwiseAND(F.lit(3)) == part, whole(c)).otherwise(F.lit(0).cast("long"))
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
 
 
 def _needed(a: Column, b: Column) -> Column:
@@ -107,46 +122,72 @@ def _joined(docs: DataFrame, per_doc: DataFrame, entries: int, how: str) -> Data
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
-    """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match; only the lines in pairs are moved."""
+    """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match.
+
+    Only lines in pairs are split again. Sketches of 256 bits thin out the pairs; then each line is compared with its
+    likeliest partner, and those that do not match it with the others.
+    """
     ends = cut(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct())
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
     lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "base", "wanted", F.split("text", "\n", -1).alias("lines"))
     # a text of a repeated id has only the lines of its own range
     lines = lines.select("doc", "base", "lines", F.explode("wanted").alias("line")).where(F.col("line").between(F.col("base"), F.col("base") + _TEXT - 1))
     lines = lines.select("doc", "line", F.get("lines", (F.col("line") - F.col("base")).cast("int")).alias("text"))
-    sets = kept.keep(lines.select("doc", "line", F.array_distinct(hashes_of(F.col("text"))).alias("words")).dropDuplicates(["doc", "line"]), "sets")
-    own = pairs.join(sets, ["doc", "line"]).join(sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("words2")), ["doc2", "line2"])
-    both = F.size(F.array_intersect("words", "words2"))
-    return own.where(both * DEN >= NUM * (F.size("words") + F.size("words2") - both)).select("doc", "line").distinct()
+    sets = lines.select("doc", "line", F.array_distinct(hashes_of(F.col("text"))).alias("words"))
+    sets = kept.keep(sets.select("doc", "line", "words", F.size("words").alias("n"), *[odd_sketch(F.col("words"), i).alias(f"s{i}") for i in range(4)]), "sets")
+
+    def other(columns: list[str]) -> DataFrame:
+        return sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), *[F.col(c).alias(f"{c}_2") for c in columns])
 
+    narrow = ["n", "s0", "s1", "s2", "s3"]
+    both = pairs.join(sets.select("doc", "line", *narrow), ["doc", "line"]).join(other(narrow), ["doc2", "line2"])
+    apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_2"))) for i in range(1, 4)), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_2"))))
+    size = F.col("n") + F.col("n_2")
+    thin = both.withColumn("apart", apart).where(F.col("apart") <= size - 2 * _needed(F.col("n"), F.col("n_2")))
+    thin = cut(thin.select("doc", "line", "doc2", "line2", (F.col("apart") / size).alias("apart")))
 
-def identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """`docs` with `doc` and `base`, the number of the first line: 0, and more for further texts of an id."""
+    def match(some: DataFrame) -> DataFrame:
+        own = some.select("doc", "line", "doc2", "line2").join(sets.select("doc", "line", "words"), ["doc", "line"]).join(other(["words"]), ["doc2", "line2"])
+        shared = F.size(F.array_intersect("words", "words_2"))
+        return own.where(shared * DEN >= NUM * (F.size("words") + F.size("words_2") - shared)).select("doc", "line").distinct()
+
+    likeliest = thin.groupBy("doc", "line").agg(F.min(F.struct("apart", "doc2", "line2")).alias("best")).select("doc", "line", "best.doc2", "best.line2")
+    hit = cut(match(likeliest))
+    others = thin.join(few(hit, BROADCAST_LINES), ["doc", "line"], "left_anti").join(likeliest, ["doc", "line", "doc2", "line2"], "left_anti")
+    return hit.unionByName(match(others))
+
+
+def identified(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
+    """`docs` with `doc` and `base`, the number of the first line: 0, and more for further texts of an id; whether ids repeat."""
     own = docs.withColumns({"doc": F.col(key), "__hash": F.xxhash64(text)})
-    several = own.where(F.col("doc").isNotNull() & F.col(text).isNotNull()).groupBy("doc").agg(F.min("__hash").alias("low"), F.max("__hash").alias("high"), F.count("*").alias("copies")).where("low <> high")
-    several = cut(several.select("doc", "copies"))
-    if several.isEmpty():
-        return own.withColumn("base", F.lit(0).cast("long")).drop("__hash")
-    texts = cut(own.join(few(several), "doc").select("doc", "__hash").distinct())
+    several = own.where(F.col("doc").isNotNull() & F.col(text).isNotNull()).groupBy("doc").agg(F.min("__hash").alias("low"), F.max("__hash").alias("high"), F.count("*").alias("copies")).where("copies > 1")
+    several = cut(several)
+    differing = cut(several.where("low <> high").select("doc"))
+    if differing.isEmpty():
+        return own.withColumn("base", F.lit(0).cast("long")).drop("__hash"), not several.isEmpty()
+    texts = cut(own.join(few(differing), "doc").select("doc", "__hash").distinct())
     ranked = cut(numbered(texts, ["doc"], ["__hash"], texts.count(), "rank").select("doc", "__hash", "rank"))
-    return own.join(few(ranked), ["doc", "__hash"], "left").withColumn("base", F.coalesce(F.col("rank") * _TEXT, F.lit(0).cast("long"))).drop("__hash", "rank")
+    return own.join(few(ranked), ["doc", "__hash"], "left").withColumn("base", F.coalesce(F.col("rank") * _TEXT, F.lit(0).cast("long"))).drop("__hash", "rank"), True
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """(doc, line) of all lines that go; lines are counted from 0, those of further texts of an id from `base`."""
-    return _removed(identified(docs.select(key, text), key, text).select("doc", "base", F.col(text).alias("text")), buckets)
+    own, repeated = identified(docs.select(key, text), key, text)
+    return _removed(own.select("doc", "base", F.col(text).alias("text")), repeated, buckets)
 
 
-def _removed(docs: DataFrame, buckets: int) -> DataFrame:
+def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     own = docs.where("doc is not null and text is not null").select("doc", "base", plain(F.col("text").cast("string")).alias("text"))
+    if repeated:
+        own = own.dropDuplicates(["doc", "base"])
     levels = rarity(own, "text", buckets)
-    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).select("doc", (F.col("base") + F.col("at")).alias("line"), hashes_of(F.col("text")).alias("h"))
+    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).select("doc", (F.col("base") + F.col("at")).alias("line"), codes_of(words_of(F.col("text")), levels, buckets).alias("h"))
     middle = F.greatest(F.floor((F.size("h") - ENDS) / 2).cast("int") + 1, F.lit(1))
     ends = {"head": F.lit(1), "middle": middle, "tail": F.greatest(F.size("h") - (ENDS - 1), F.lit(1))}
     ends = [F.xxhash64(F.lit(i), F.slice("h", at, F.lit(ENDS))).alias(k) for i, (k, at) in enumerate(ends.items())]
-    coded = split.where(F.size("h") > 0).select("doc", "line", *ends, codes_of(F.array_distinct("h"), levels, buckets).alias("codes"))
+    coded = split.where(F.size("h") > 0).select("doc", "line", *ends, F.sort_array(F.array_distinct("h")).alias("codes"))
     n = F.size("codes")
-    odd = F.aggregate("codes", F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(_bit(c)))
+    odd = odd_sketch(F.col("codes"))
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
     kept = Tables(docs.sparkSession)
     lines = kept.keep(coded.select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), *[k for k in ("head", "middle", "tail")], prefix.alias("prefix")), "lines")
@@ -158,11 +199,16 @@ def _removed(docs: DataFrame, buckets: int) -> DataFrame:
     again = cut(again.where(F.col("first") != place).select("doc", "line"))
     classes = lines.where("n >= 4").join(few(again, BROADCAST_LINES), ["doc", "line"], "left_anti")
 
+    # the earliest document of an end, then its earliest line: sums of plain numbers, so combined before the shuffle
     row = ["doc", "line", "n", "odd"]
     ends = classes.select(*row, F.explode(F.array("head", "middle", "tail")).alias("end"))
-    leads = cut(ends.groupBy("end").agg(F.min(F.struct(*row)).alias("lead"), F.count("*").alias("copies")).where("copies > 1"))
-    led = hot_join(ends, leads, ["end"], "copies", "inner").select(F.struct(*row).alias("own"), "lead")
-    stars = led.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
+    shared = cut(ends.groupBy("end").agg(F.min("doc").alias("first"), F.count("*").alias("copies")).where("copies > 1"))
+    small = shared.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
+    led = cut((ends.join(F.broadcast(shared), "end") if small else hot_join(ends, shared, ["end"], "copies", "inner")).drop("copies"))
+    leads = cut(led.where("doc = first").groupBy("end").agg(F.min(F.struct(*row)).alias("lead")))
+    leads = cut(leads.join(shared.select("end", "copies"), "end"))
+    stars = hot_join(led.select("end", F.struct(*row).alias("own")), leads, ["end"], "copies", "inner")
+    stars = stars.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
     stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2")).distinct())
     matched = cut(_verified(stars, own, kept))
 
@@ -181,16 +227,12 @@ def _removed(docs: DataFrame, buckets: int) -> DataFrame:
     return out
 
 
-def _bit(c: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int"))
-
-
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: bool = False, buckets: int = BUCKETS) -> DataFrame:
     """`docs` without the lines that go; with `counts` also n_lines and n_removed."""
     names = [f"__{i}" for i in range(len(docs.columns))]
     old = names[docs.columns.index(text)]
-    own = identified(docs.toDF(*names), names[docs.columns.index(key)], old)
-    gone = _removed(own.select("doc", "base", F.col(old).alias("text")), buckets)
+    own, repeated = identified(docs.toDF(*names), names[docs.columns.index(key)], old)
+    gone = _removed(own.select("doc", "base", F.col(old).alias("text")), repeated, buckets)
     per_doc = gone.groupBy("doc").agg(F.collect_set("line").alias("__all"))
     joined = _joined(own, per_doc, gone.count(), "left").withColumn("__lines", F.split(old, "\n", -1))
     mine = F.filter("__all", lambda i: (i >= F.col("base")) & (i < F.col("base") + _TEXT))

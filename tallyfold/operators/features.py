@@ -14,26 +14,27 @@ from tallyfold.sources.model import Model
 
 from .rules import SPLITS, customer_order
 
-#: Every feature and what it says; the columns of build() in this order.
+#: Columns of build() in this order (fixed ids), each with its definition; P is the customer's invoice before this one, by
+#: number, and the past all the customer's invoices with smaller numbers.
 REGISTRY = {
-    "prev_invoice_number": "the customer's invoice before",
-    "gap_days": "days since it was billed",
-    "shared_products": "products on both",
-    "product_jaccard": "shared products over all products of the two",
-    "shared_same_qty": "shared products with equal total quantity",
-    "total_ratio": "total over the total before",
-    "same_payment_schedule": "both have the same schedule",
-    "union_matches_past_basket": "the products of the two together are those of a still earlier invoice",
-    "prior_invoice_count": "earlier invoices of the customer",
-    "tenure_days": "days since the customer's first invoice",
-    "median_gap_days": "median gap between earlier invoices",
-    "prior_short_gap_share": "share of those gaps of at most 2 days",
-    "invoices_last_7_days": "earlier invoices at most 7 days old",
-    "total_vs_median": "total over the median of earlier totals",
-    "new_products": "products that the customer never had before",
-    "line_count": "lines, as in the header",
-    "invoice_total_cents": "total, as in the header",
-    "payment_schedule": "schedule, as in the header",
+    "prev_invoice_number": "number of P; null without a past",
+    "gap_days": "billing date less that of P",
+    "shared_products": "size of the intersection of the two product sets",
+    "product_jaccard": "intersection over union of the product sets, 4 places",
+    "shared_same_qty": "products of the intersection whose quantities, added over lines, agree",
+    "total_ratio": "invoice total / total of P, 4 places; null for a total of 0",
+    "same_payment_schedule": "whether schedule labels agree with P",
+    "union_matches_past_basket": "whether the union of the product sets is the product set of an invoice before P",
+    "prior_invoice_count": "size of the past",
+    "tenure_days": "billing date less the first of the past",
+    "median_gap_days": "median of the gaps within the past",
+    "prior_short_gap_share": "part of those gaps of 0, 1 or 2 days, 4 places",
+    "invoices_last_7_days": "invoices of the past dated within 7 days of this one",
+    "total_vs_median": "invoice total / median total of the past, 4 places",
+    "new_products": "products of this invoice on none of the past",
+    "line_count": "header column",
+    "invoice_total_cents": "header column",
+    "payment_schedule": "header column",
 }
 
 
@@ -62,13 +63,14 @@ def build(m: Model) -> DataFrame:
 
     has = F.col("prev").isNotNull()
     own = own.withColumn("both", F.when(has, F.sort_array(F.array_union("products", F.col("prev.products")))))
-    old = inv.select("customer_id", F.col("products").alias("both"), number.alias("past_number"))
-    matched = own.where(has).join(old, ["customer_id", "both"]).where(F.col("past_number") < F.col("prev.at")).select("invoice_number").distinct().withColumn("matched", F.lit(True))
+    # the first invoice with these products decides whether any is older than the one before: one row for each basket
+    old = inv.groupBy("customer_id", F.col("products").alias("both")).agg(F.min(number).alias("oldest"))
+    own = own.join(old, ["customer_id", "both"], "left").withColumn("matched", F.col("oldest") < F.col("prev.at"))
 
     shared = F.array_intersect("products", F.col("prev.products"))
     same = F.filter(shared, lambda p: F.col("quantities")[p] == F.col("prev.quantities")[p])
     first = F.col("prior") == 0
-    return own.join(new, "invoice_number", "left").join(matched, "invoice_number", "left").select(
+    return own.join(new, "invoice_number", "left").select(
         "invoice_number",
         F.col("prev.invoice_number").alias("prev_invoice_number"), F.col("gap").alias("gap_days"),
         F.when(has, F.size(shared)).alias("shared_products"), F.when(has, ratio(F.size(shared), F.size("both"))).alias("product_jaccard"),

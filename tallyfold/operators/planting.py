@@ -111,7 +111,7 @@ def plant(m: Model, routes: DataFrame, per_label: int, seed: int, weights: dict[
     kind = F.col("kind")
     before = F.when(kind == "split", part).otherwise(F.col("lines"))
     after = F.when(kind == "moved", F.col("next.lines")).when(kind == "split", rest).when(kind == "rebill", part).otherwise(F.transform(part, other))
-    suffix = F.when(kind == "moved", "-m").when(kind == "split", "-b").when(kind == "rebill", "-r").otherwise("-c")
+    suffix = F.when(kind == "moved", "~nearer").when(kind == "split", "~rest").when(kind == "rebill", "~again").otherwise("~altered")
     built = drawn.withColumns({"day": day, "before": _numbered(before), "after": _numbered(after), "base": F.when(kind == "moved", F.col("next.invoice_number")).otherwise(F.col("invoice_number"))})
     moved = (F.col("next.route") == "auto_approve") & (F.col("next.split") == F.col("split")) & (F.year("next.billing_date") == F.year("billing_date")) & (F.col("rank") % 2 == 0) & (days_between(F.col("billing_date"), F.col("next.billing_date")) > F.col("gap_days"))
     sound = F.when(kind == "moved", F.coalesce(moved, F.lit(False))).otherwise(size >= 2)
@@ -128,10 +128,10 @@ def plant(m: Model, routes: DataFrame, per_label: int, seed: int, weights: dict[
     taken = built.withColumn("k", F.row_number().over(order)).where(F.col("k") <= F.col("cases"))
     number = F.row_number().over(Window.partitionBy("split", "kind").orderBy("gap_days", "k"))
     cases = taken.select(
-        F.concat_ws("-", "split", "kind", F.lpad(number.cast("string"), 3, "0")).alias("case_id"), "kind",
+        F.concat("kind", F.lit(" "), number.cast("string"), F.lit(" of "), "split").alias("case_id"), "kind",
         F.when(kind == "moved", LABELS["moved"]).otherwise(LABELS["split"]).alias("label"), "split",
         F.when(kind == "moved", F.array("invoice_number", "base")).otherwise(F.array("invoice_number")).alias("source_invoices"), "gap_days", "customer_id",
-        _invoice(F.when(kind == "split", F.concat("invoice_number", F.lit("-a"))).otherwise(F.col("invoice_number")), F.col("billing_date"), F.col("before")).alias("previous"),
+        _invoice(F.when(kind == "split", F.concat("invoice_number", F.lit("~part"))).otherwise(F.col("invoice_number")), F.col("billing_date"), F.col("before")).alias("previous"),
         _invoice(F.concat("base", suffix), F.col("day"), F.col("after")).alias("current"),
     )
     have = {(r.split, r.kind): r.n for r in cases.groupBy("split", "kind").agg(F.count("*").alias("n")).collect()}
@@ -191,6 +191,19 @@ def kind_shares(cases: DataFrame, p: Column, threshold: float) -> DataFrame:
     return domain.join(by, ["split", "kind"], "left").na.fill(0, ["n"])
 
 
+def gap_weights(m: Model) -> dict[int, float]:
+    """How often real invoices of tune and test follow the one before by 0, 1 .. NEAR_DAYS days; by gap, all gaps included."""
+    before = F.lag("billing_date").over(customer_order())
+    real = m.invoices.select("customer_id", "invoice_number", m.split().alias("split"), days_between(before, F.col("billing_date")).alias("gap"))
+    found = {r.gap: float(r.n) for r in real.where((F.col("split") != "demo") & F.col("gap").between(0, NEAR_DAYS)).groupBy("gap").agg(F.count("*").alias("n")).collect()}
+    return {g: found.get(g, 0.0) for g in range(NEAR_DAYS + 1)}
+
+
+def score_list(scored: DataFrame) -> DataFrame:
+    """The scores of every split and kind, in order: a list for each, of planted cases only."""
+    return scored.groupBy("split", "kind").agg(F.sort_array(F.collect_list(rounded(F.col("p"), 3))).alias("scores"))
+
+
 def real_load(answers: DataFrame, threshold: float) -> DataFrame:
     """Model-routed invoices of tune and test by split: invoices, those with p >= threshold, and the rest."""
     by = answers.groupBy("split").agg(F.count("*").alias("invoices"), F.count_if(F.col("p") >= threshold).alias("human_review"), F.count_if(F.col("p") < threshold).alias("auto_approve"))

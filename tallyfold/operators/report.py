@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import json
 import os
 
 from pyspark.sql import DataFrame
@@ -80,6 +81,37 @@ def html_table(rows: list[dict]) -> str:
     return f"<table><thead><tr>{head}</tr></thead><tbody>{body}</tbody></table>"
 
 
+def read_document(path: str) -> dict | None:
+    """A phase's summary, or None where the phase was not run."""
+    if not os.path.exists(path):
+        return None
+    with open(path) as text:
+        return json.load(text)
+
+
+def page(documents: dict[str, dict | None], routes: list[dict], bins: list[tuple[int, int]], threshold: float) -> str:
+    """The report: every list of rows in a phase's document is a table, other values are listed; then the routes and scores."""
+    sections = {}
+    for name, document in documents.items():
+        if document is None:
+            sections[name] = "<p>This phase was not run.</p>"
+            continue
+        parts, single = [], []
+        for key, value in document.items():
+            rows = value if isinstance(value, list) and all(isinstance(r, dict) for r in value) else None
+            if rows is not None:
+                flat = [{k: v for k, v in r.items() if k != "table"} for r in rows]
+                parts.append(f"<h3>{html.escape(key)}</h3>{html_table(flat)}")
+            elif isinstance(value, dict):
+                parts.append(f"<h3>{html.escape(key)}</h3>{html_table([{'name': k, 'value': v} for k, v in value.items()])}")
+            else:
+                single.append({"name": key, "value": value})
+        sections[name] = html_table(single) + "".join(parts)
+    sections["final routes"] = html_table(routes)
+    sections["scores of the model"] = histogram_svg(bins, threshold) if bins else "<p>No scores.</p>"
+    return render(sections)
+
+
 def render(sections: dict[str, str], fragment: bool = False) -> str:
     """One self-contained page of titled sections, or only its body."""
     body = "".join(f"<section><h2>{html.escape(t)}</h2>{s}</section>" for t, s in sections.items())

@@ -28,6 +28,7 @@ from tallyfold.functions.scalars import (
     signed_percent,
 )
 from tallyfold.sources.model import SCHEDULES, Model
+from tallyfold.sources.store import stored
 
 NONE = "array<string>"
 
@@ -96,21 +97,27 @@ def list_prices(m: Model) -> DataFrame:
 
     The list price is the most frequent price so far, the one seen first among equals. A price's count never falls, so it
     is the price of the largest (count after the line, first seen earlier) among all earlier lines: a running maximum.
+    Every step reads the stored result of the one before.
     """
     lines = m.invoice_lines.select("invoice_number", "line_number", "product_id", F.year("billing_date").alias("year"), F.col("unit_price_cents").alias("price"))
     order = [*number_order(F.col("invoice_number")), F.col("line_number")]
     counted = running_count(lines, ["product_id", "year", "price"], order, "count")
     first = lines.groupBy("product_id", "year", "price").agg(F.min(F.struct(F.length("invoice_number"), "invoice_number", "line_number")).alias("seen"))
     rank = F.row_number().over(Window.partitionBy("product_id", "year").orderBy("seen"))
-    events = counted.join(first.withColumn("age", -rank).drop("seen"), ["product_id", "year", "price"])
-    events = running_max(events, ["product_id", "year"], F.struct("count", "age", "price"), "current")
-    events = running_max(events, ["product_id"], F.struct("year", "count", "age", "price"), "ref")
+    events = stored(counted.join(first.withColumn("age", -rank).drop("seen"), ["product_id", "year", "price"]), "prices")
+    events = stored(running_max(events, ["product_id", "year"], F.struct("count", "age", "price"), "current"), "prices")
+    best = F.struct("year", "count", "age", "price")
+    events = stored(running_max(events, ["product_id"], best, "ref"), "prices")
     late = events.where(F.col("current").isNull() & (F.col("ref.year") >= F.col("year"))).select("invoice_number", "line_number", "product_id", "year")
-    # only where dates run against numbers: later years were seen before, so the earlier ones are searched
-    past = events.select("product_id", F.col("invoice_number").alias("n"), F.struct("year", "count", "age", "price").alias("e"))
-    earlier = (F.col("e.year") < F.col("year")) & (F.struct(F.length("n"), "n") < F.struct(F.length("invoice_number"), "invoice_number"))
-    found = late.join(past, "product_id").where(earlier).groupBy("invoice_number", "line_number").agg(F.max("e").alias("other"))
-    events = events.join(found, ["invoice_number", "line_number"], "left")
+    if late.isEmpty():
+        events = events.withColumn("other", F.lit(None).cast(events.schema["ref"].dataType))
+    else:
+        # only where dates run against numbers: a later year was seen before, so each earlier year of the product is asked
+        years = events.select("product_id", F.col("year").alias("past")).distinct()
+        asked = late.join(years, "product_id").where("past < year").select("product_id", F.col("past").alias("year"), "invoice_number", "line_number", F.lit(None).cast(events.schema["ref"].dataType).alias("e"), F.lit(True).alias("asked"))
+        rows = stored(asked.unionByName(events.select("product_id", "year", "invoice_number", "line_number", best.alias("e"), F.lit(False).alias("asked"))), "prices")
+        found = running_max(rows, ["product_id", "year"], F.col("e"), "other").where("asked").groupBy("invoice_number", "line_number").agg(F.max("other").alias("other"))
+        events = events.join(found, ["invoice_number", "line_number"], "left")
     ref = F.when(F.col("current").isNull(), F.when(F.col("ref.year") < F.col("year"), F.col("ref")).otherwise(F.col("other")))
     return events.select("invoice_number", "line_number", "product_id", "year", "price", F.col("current.price").alias("current"), ref["year"].alias("ref_year"), ref["price"].alias("ref_price"))
 
@@ -207,10 +214,20 @@ def customer_order() -> Window:
 
 def duplicate_lines(m: Model) -> DataFrame:
     """The same products and quantities as an earlier invoice of the customer at most 7 days before."""
-    own = baskets(m).select("invoice_number", "customer_id", "signature", "billing_date")
-    past = own.select("customer_id", "signature", F.col("invoice_number").alias("n"), F.col("billing_date").alias("d"))
+    own = stored(baskets(m).select("invoice_number", "customer_id", "signature", "billing_date"), "signatures")
+    number = F.struct(F.length("invoice_number").alias("k"), "invoice_number")
+    of = ["customer_id", "signature"]
+    # invoices 0 to 7 days apart meet in the older one's period of 8 days or the one after it
+    period = lambda day: F.floor(F.unix_date(day) / (DUPLICATE_DAYS + 1))
+    past = own.select(*of, F.col("invoice_number").alias("n"), F.col("billing_date").alias("d"))
+    near = past.withColumn("period", F.explode(F.array(period(F.col("d")), period(F.col("d")) + 1)))
+    apart = days_between(F.col("d"), F.col("billing_date"))
     earlier = F.struct(F.length("n"), "n") < F.struct(F.length("invoice_number"), "invoice_number")
-    hits = own.join(past, ["customer_id", "signature"]).where(earlier & (days_between(F.col("d"), F.col("billing_date")) <= DUPLICATE_DAYS))
+    hits = own.withColumn("period", period(F.col("billing_date"))).join(near, [*of, "period"]).where(earlier & apart.between(0, DUPLICATE_DAYS)).drop("period")
+    # where dates run against numbers, an earlier number may have a later date; only invoices that have such a one look for it
+    latest = F.max("billing_date").over(Window.partitionBy(*of).orderBy(number).rowsBetween(Window.unboundedPreceding, -1))
+    behind = own.withColumn("latest", latest).where(F.col("latest") > F.col("billing_date")).drop("latest")
+    hits = hits.unionByName(behind.join(past, of).where(earlier & (apart < 0)))
     said = F.transform(F.sort_array(F.collect_list(F.struct(F.length("n").alias("k"), "n", "d"))), lambda x: F.concat(F.lit("same products and quantities as "), x["n"], F.lit(" of "), x["d"].cast("string")))
     return _verdict(m.invoices.join(hits.groupBy("invoice_number").agg(said.alias("said")), "invoice_number", "left"), F.col("said"))
 

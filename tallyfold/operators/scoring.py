@@ -6,11 +6,12 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfold.functions.scalars import number_order
 from tallyfold.sources.model import Model
+from tallyfold.sources.store import stored
 
 from .rules import SPLITS
 
@@ -82,6 +83,59 @@ def ask(df: DataFrame, model: str, scorer: Scorer, cache: DataFrame | None = Non
     return keyed.join(answers, "key")
 
 
+CACHE = "key string, requested string, model string, p double, input_tokens long, output_tokens long"
+#: (model name, states as JSON) -> the model that answered, p, input_tokens and output_tokens of each state
+FullScorer = Callable[[str, pd.Series], pd.DataFrame]
+
+
+def with_usage(scorer: Scorer) -> FullScorer:
+    """A plain scorer that reports itself as the model and a quarter of a state's characters as its tokens."""
+
+    def full(model: str, states: pd.Series) -> pd.DataFrame:
+        tokens = states.map(lambda s: -(-len(s) // 4))
+        return pd.DataFrame({"model": model, "p": scorer(model, states).astype(float), "input_tokens": tokens, "output_tokens": 0})
+
+    return full
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The answers kept at `path`, JSON lines; none if there is no such folder. Of a key's answers the first by text counts."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    kept = spark.read.schema(CACHE).option("mode", "FAILFAST").json(path) if there else spark.createDataFrame([], CACHE)
+    rest = [c for c in kept.columns if c != "key"]
+    return kept.where("p between 0 and 1").groupBy("key").agg(F.min(F.struct(*rest)).alias("x")).select("key", "x.*")
+
+
+def ask_kept(df: DataFrame, model: str, scorer: FullScorer, path: str) -> DataFrame:
+    """ask() with answers kept at `path`: new ones are appended before any is used, so a broken run asks none twice.
+
+    Adds the model that answered, its tokens, p and cached. A probability outside 0..1 raises.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn("key", cache_key(model))
+    before = stored(read_cache(spark, path), "answers")
+    wanted = keyed.select("key", "state").dropDuplicates(["key"]).join(before, "key", "left_anti")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = scorer(model, batch["state"]).reset_index(drop=True)
+            if not out["p"].between(0, 1).all():
+                raise ValueError("a scorer's probability must be within 0..1")
+            yield pd.DataFrame({"key": batch["key"].reset_index(drop=True), "requested": model, **{c: out[c] for c in ("model", "p", "input_tokens", "output_tokens")}})
+
+    wanted.mapInPandas(run, CACHE).write.mode("append").json(path)
+    known = before.select("key", F.lit(True).alias("cached"))
+    return keyed.join(read_cache(spark, path).drop("requested"), "key").join(known, "key", "left").withColumn("cached", F.coalesce("cached", F.lit(False)))
+
+
+def usage(answers: DataFrame) -> DataFrame:
+    """Answers, how many came from the cache, and the tokens of those that did not, once for each state."""
+    once = answers.groupBy("key").agg(F.count("*").alias("n"), F.any_value("cached").alias("cached"), F.any_value("input_tokens").alias("i"), F.any_value("output_tokens").alias("o"))
+    fresh = lambda c: F.coalesce(F.sum(F.when(~F.col("cached"), F.col(c))), F.lit(0))
+    return once.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("answers"), F.coalesce(F.sum(F.when(F.col("cached"), F.col("n"))), F.lit(0)).alias("cached"), fresh("i").alias("input_tokens"), fresh("o").alias("output_tokens"))
+
+
 def offline_scorer(model: str, states: pd.Series) -> pd.Series:
     """A stand-in without a network: the likeness of the baskets, less for a longer gap."""
 

@@ -6,6 +6,7 @@ All monetary columns are whole cents. Nothing is inferred: invoice numbers keep
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 
 from tallyfold.functions.scalars import add_days, installment_part, line_commission, split_of
 
+from .store import state_of, stored
+
 # Columns of the delivered tables.
 SCHEMAS = {
     "invoices": "invoice_number string, billing_date date, billing_month string, customer_id string, seller_id string, business_unit string, payment_schedule string, line_count long, invoice_total_cents long, commission_total_cents long, first_delivery_month string, last_delivery_month string, times_sent long, from_pending_delivery boolean",
@@ -24,6 +27,7 @@ SCHEMAS = {
     "sellers": "seller_id string, business_unit string, territory string, territory_city_count long, customer_count long",
     "monthly_sales": "month string, business_unit string, seller_id string, invoice_count long, sales_cents long, commission_cents long",
 }
+# Keys, references and schedules of the delivered tables.
 KEYS = {
     "invoices": ["invoice_number"], "invoice_lines": ["invoice_number", "line_number"], "scheduled_installments": ["invoice_number", "installment_number"],
     "customers": ["customer_id"], "products": ["product_id"], "sellers": ["seller_id"],
@@ -119,10 +123,24 @@ def write_summary(document: dict, path: str) -> None:
         json.dump(document, out, indent=2, default=str)
 
 
-def from_tpch(spark: SparkSession, sf_dir: str) -> Model:
+#: The raw tables of from_tpch().
+RAW = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+#: Models of this process, by application and state of the raw files.
+_MODELS: dict[tuple, Model] = {}
+
+
+def model_of(spark: SparkSession, sf_dir: str) -> Model:
+    """from_tpch() with its large tables stored once a session, and anew when the raw files have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, state_of(spark, [f"{sf_dir}/{t}.parquet" for t in RAW]))
+    if key not in _MODELS:
+        _MODELS[key] = from_tpch(spark, sf_dir, stored)
+    return _MODELS[key]
+
+
+def from_tpch(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame, str], DataFrame] = lambda df, kind: df) -> Model:
     """The model over orders and lineitem, with deviations spread over it by the keys so that every rule has cases.
 
-    An invoice is an order; its number is the date and the order key, so that number order is date order. Products are
+    `keep` may store the tables that the others are made of. An invoice is an order; its number is the date and the order key, so that number order is date order. Products are
     part types by region; sellers are nations; schedules follow the order priority, of which one has no known schedule.
     """
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
@@ -164,6 +182,7 @@ def from_tpch(spark: SparkSession, sf_dir: str) -> Model:
             F.date_format("l_shipdate", "yyyy-MM").alias("ship_month"),
         )
     )
+    lines = keep(lines, "invoice-lines")
     sums = lines.groupBy("o_orderkey").agg(
         F.count("*").alias("lines"), F.sum("line_amount_cents").alias("amount"), F.sum("commission_amount_cents").alias("commission"),
         F.min("ship_month").alias("first_delivery_month"), F.max("ship_month").alias("last_delivery_month"),
@@ -181,6 +200,7 @@ def from_tpch(spark: SparkSession, sf_dir: str) -> Model:
         key.alias("o_orderkey"),
     )
 
+    invoices = keep(invoices, "invoices")
     spec = spark.createDataFrame([(k, *v) for k, v in SCHEDULES.items()], "payment_schedule string, installments int, first_days int")
     dues = (
         invoices.join(spec, "payment_schedule", "left")
@@ -200,6 +220,7 @@ def from_tpch(spark: SparkSession, sf_dir: str) -> Model:
         "customer_id", "customer_name", "segment", "city", "state", "seller_id", "business_unit", "first_billing_date", "last_billing_date",
         (F.col("n") + F.when(F.col("c_custkey") % 50 == 0, 1).otherwise(0)).alias("invoice_count"), "total_sales_cents",
     )
+    customers = keep(customers, "customers")
     products = read("part").select("p_type").distinct().crossJoin(read("region").select("r_name")).select(
         F.concat("p_type", F.lit("@"), "r_name").alias("product_id"), F.col("p_type").alias("product_name"), F.col("p_type").alias("product_category"), F.col("r_name").alias("business_unit"),
     )

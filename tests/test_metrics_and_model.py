@@ -134,7 +134,7 @@ def test_planted_cases(spark):
         assert (r.current.billing_date - r.previous.billing_date).days == r.gap_days and r.current.line_count == len(r.current.lines) > 0
         assert r.current.invoice_total_cents == sum(x.line_amount_cents for x in r.current.lines)
         if r.kind == "split":
-            assert 0 < len(r.previous.lines) and r.previous.invoice_number.endswith("-a")
+            assert 0 < len(r.previous.lines) and r.previous.invoice_number.endswith("~part")
     assert sorted(r.case_id for r in planting.plant(m, routes, **args).collect()) == sorted(r.case_id for r in got)
     with pytest.raises(ValueError, match="not enough"):
         planting.plant(m, routes, per_label=500, seed=1, weights={1: 1})

@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import pickle
-import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (single machine, as in tests)."""
-    sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "/tmp/checkpoints/tallyfold"
-        sc.setCheckpointDir(found)
-    return found
+from tallyfold.sources.store import scratch, shared_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -40,11 +37,6 @@ def _release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def scratch(spark: SparkSession, kind: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
-
-
 def sharing(df: DataFrame, per_task: int, rows: int) -> int:
     """How many salts keep a group of `rows` rows below `per_task` rows each."""
     return max(1, -(-rows // per_task))
@@ -78,6 +70,40 @@ def words_lower(column):
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def text_runs(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(from, to, texts) of runs of about `most` bytes, copied out of a batch one run at a time; a null is empty."""
+    raw = texts.cast(pa.binary())
+    ends = np.cumsum(pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(raw):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, to, [t or b"" for t in raw.slice(at, to - at).to_pylist()]
+        at = to
+
+
+Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def lean(run: Run) -> Run:
+    """`run`, after which a worker gives freed memory back: workers are kept for later tasks, beside other ones."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        del batches
+        give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 class Shared:
     """A broadcast value whose classes travel by value, too. Its size must be bounded by whoever makes it."""
 

@@ -29,14 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared
+from .common import Shared, lean, text_runs
 
 WINDOW = 10
 K = 5
 #: Bytes of benchmark text in one broadcast block.
 BLOCK_BYTES = 16_000_000
 #: Bytes of documents that are handled at once (single longer texts are taken whole).
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -177,18 +177,6 @@ def _summary(spans: list[tuple[str, int, int]]) -> tuple[int, list[str]]:
     return hit, sorted({name for name, _, _ in spans})
 
 
-def chunks(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about `most` bytes."""
-    at = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > most:
-            yield at, i
-            at, total = i, 0
-        total += len(t)
-    if at < len(texts):
-        yield at, len(texts)
-
-
 SPAN = T.ArrayType(T.StructType([T.StructField("item_id", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 ADDED = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("spans", SPAN)]
 _SPAN_ARROW = pa.list_(pa.struct([("item_id", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -232,9 +220,8 @@ def _matcher(index, keep: list[str], first: bool, last: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or b"" for t in batch.column(batch.schema.get_field_index("__text")).cast(pa.binary()).to_pylist()]
-            for a, b in chunks(texts, CHUNK_BYTES):
-                words = Words(texts[a:b])
+            for a, b, texts in text_runs(batch.column(batch.schema.get_field_index("__text")), CHUNK_BYTES):
+                words = Words(texts)
                 spans = index.value.hits(words)
                 rows = batch.slice(a, b - a)
                 if not first:
@@ -250,7 +237,7 @@ def _matcher(index, keep: list[str], first: bool, last: bool):
                     names.append("__text")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return run
+    return lean(run)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -121,12 +121,8 @@ def _joined(docs: DataFrame, per_doc: DataFrame, entries: int, how: str) -> Data
     return docs.join(F.broadcast(per_doc) if entries <= BROADCAST_LINES else per_doc, "doc", how)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
-    """Of pairs (doc, line, doc2, line2) the distinct (doc, line) that match.
-
-    Only lines in pairs are split again. Sketches of 256 bits thin out the pairs; then each line is compared with its
-    likeliest partner, and those that do not match it with the others.
-    """
+def _sets(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
+    """(doc, line, words, n, s0..s3) of the lines in pairs: sets of hashes with sketches of 256 bits."""
     ends = cut(pairs.select("doc", "line").unionByName(pairs.select(F.col("doc2").alias("doc"), F.col("line2").alias("line"))).distinct())
     wanted = ends.groupBy("doc").agg(F.collect_list("line").alias("wanted"))
     lines = _joined(docs, wanted, ends.count(), "inner").select("doc", "base", "wanted", F.split("text", "\n", -1).alias("lines"))
@@ -134,27 +130,43 @@ def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
     lines = lines.select("doc", "base", "lines", F.explode("wanted").alias("line")).where(F.col("line").between(F.col("base"), F.col("base") + _TEXT - 1))
     lines = lines.select("doc", "line", F.get("lines", (F.col("line") - F.col("base")).cast("int")).alias("text"))
     sets = lines.select("doc", "line", F.array_distinct(hashes_of(F.col("text"))).alias("words"))
-    sets = kept.keep(sets.select("doc", "line", "words", F.size("words").alias("n"), *[odd_sketch(F.col("words"), i).alias(f"s{i}") for i in range(4)]), "sets")
+    return kept.keep(sets.select("doc", "line", "words", F.size("words").alias("n"), *[odd_sketch(F.col("words"), i).alias(f"s{i}") for i in range(4)]), "sets")
+
+
+def _partner(sets: DataFrame, columns: list[str]) -> DataFrame:
+    return sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), *[F.col(c).alias(f"{c}_2") for c in columns])
 
-    def other(columns: list[str]) -> DataFrame:
-        return sets.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), *[F.col(c).alias(f"{c}_2") for c in columns])
 
-    narrow = ["n", "s0", "s1", "s2", "s3"]
-    both = pairs.join(sets.select("doc", "line", *narrow), ["doc", "line"]).join(other(narrow), ["doc2", "line2"])
+def _matching(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The (doc, line) of pairs whose sets are similar enough."""
+    own = pairs.select("doc", "line", "doc2", "line2").join(sets.select("doc", "line", "words"), ["doc", "line"]).join(_partner(sets, ["words"]), ["doc2", "line2"])
+    shared = F.size(F.array_intersect("words", "words_2"))
+    return own.where(shared * DEN >= NUM * (F.size("words") + F.size("words_2") - shared)).select("doc", "line").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
+    """Of materialised pairs (doc, line, doc2, line2, apart) the distinct (doc, line) that match.
+
+    Each line is first compared with its likeliest partner alone, as most lines with a match have many. Of lines without
+    a match there, sketches of 256 bits thin out the other partners.
+    """
+    likeliest = pairs.groupBy("doc", "line").agg(F.min(F.struct("apart", "doc2", "line2")).alias("best")).select("doc", "line", "best.doc2", "best.line2")
+    likeliest = cut(likeliest)
+    hit = cut(_matching(likeliest, _sets(likeliest, docs, kept)))
+    others = pairs.join(few(hit, BROADCAST_LINES), ["doc", "line"], "left_anti").join(few(likeliest, BROADCAST_LINES), ["doc", "line", "doc2", "line2"], "left_anti")
+    others = cut(others.select("doc", "line", "doc2", "line2"))
+    if others.isEmpty():
+        return hit
+    sets, narrow = _sets(others, docs, kept), ["n", "s0", "s1", "s2", "s3"]
+    both = others.join(sets.select("doc", "line", *narrow), ["doc", "line"]).join(_partner(sets, narrow), ["doc2", "line2"])
     apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"s{i}_2"))) for i in range(1, 4)), F.bit_count(F.col("s0").bitwiseXOR(F.col("s0_2"))))
-    size = F.col("n") + F.col("n_2")
-    thin = both.withColumn("apart", apart).where(F.col("apart") <= size - 2 * _needed(F.col("n"), F.col("n_2")))
-    thin = cut(thin.select("doc", "line", "doc2", "line2", (F.col("apart") / size).alias("apart")))
+    thin = cut(both.where(apart <= F.col("n") + F.col("n_2") - 2 * _needed(F.col("n"), F.col("n_2"))).select("doc", "line", "doc2", "line2"))
+    return hit.unionByName(_matching(thin, sets)).distinct()
 
-    def match(some: DataFrame) -> DataFrame:
-        own = some.select("doc", "line", "doc2", "line2").join(sets.select("doc", "line", "words"), ["doc", "line"]).join(other(["words"]), ["doc2", "line2"])
-        shared = F.size(F.array_intersect("words", "words_2"))
-        return own.where(shared * DEN >= NUM * (F.size("words") + F.size("words_2") - shared)).select("doc", "line").distinct()
 
-    likeliest = thin.groupBy("doc", "line").agg(F.min(F.struct("apart", "doc2", "line2")).alias("best")).select("doc", "line", "best.doc2", "best.line2")
-    hit = cut(match(likeliest))
-    others = thin.join(few(hit, BROADCAST_LINES), ["doc", "line"], "left_anti").join(likeliest, ["doc", "line", "doc2", "line2"], "left_anti")
-    return hit.unionByName(match(others))
+def _apart(x: str, y: str) -> Column:
+    """How unlike two lines look: differing bits of their sketches for their size."""
+    return F.bit_count(F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd"))) / (F.col(f"{x}.n") + F.abs(F.col(f"{y}.n")))
 
 
 def identified(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
@@ -209,7 +221,7 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     leads = cut(leads.join(shared.select("end", "copies"), "end"))
     stars = hot_join(led.select("end", F.struct(*row).alias("own")), leads, ["end"], "copies", "inner")
     stars = stars.where("lead.doc <> own.doc or lead.line <> own.line").where(_allowed("own", "lead"))
-    stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2")).distinct())
+    stars = cut(stars.select("own.doc", "own.line", F.col("lead.doc").alias("doc2"), F.col("lead.line").alias("line2"), _apart("own", "lead").alias("apart")).distinct())
     matched = cut(_verified(stars, own, kept))
 
     done = matched.withColumn("done", F.lit(True))
@@ -220,8 +232,8 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     x, y = rows.alias("x"), rows.alias("y")
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") < F.col("x.line")))
     met = x.join(y, F.col("x.code") == F.col("y.code")).where(_allowed("x", "y") & _enough("x", "y") & earlier)
-    met = met.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")).distinct()
-    met = cut(met.join(few(stars, BROADCAST_LINES), ["doc", "line", "doc2", "line2"], "left_anti"))
+    met = met.select(F.col("x.doc").alias("doc"), F.col("x.line").alias("line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2"), _apart("x", "y").alias("apart"))
+    met = cut(met.distinct())
     out = cut(again.unionByName(matched).unionByName(_verified(met, own, kept)).distinct())
     kept.drop()
     return out

@@ -40,9 +40,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Shared, Tables, cut, few, hot_join
+from .common import Shared, Tables, cut, few, hot_join, lean, text_runs
 from .components import components
-from .decontaminate import Words, chunks
+from .decontaminate import Words
 
 N = 3
 #: The threshold as a percentage.
@@ -50,7 +50,7 @@ PERCENT = 90
 #: Largest over smallest size of a band, about.
 BAND = 1.25
 SKETCH_WORDS = 8
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 #: One indexed row costs about as much as so many candidate pairs.
 ROW_COST = 2.0
 #: Sets of more shingles have a second sketch of at least a bit a shingle.
@@ -221,10 +221,6 @@ def allocate(bands: Bands, pairs: dict[int, dict[int, float]], sets: dict[int, t
     return bands
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-
-
 _LONGS = ["doc", "n", "k1", "k2"] + [f"s{i}" for i in range(SKETCH_WORDS)]
 SETS = T.StructType([T.StructField(c, T.LongType()) for c in _LONGS] + [T.StructField("wide", T.BinaryType()), T.StructField("counts", T.ArrayType(T.LongType()))])
 _SETS_ARROW = pa.schema([(c, pa.int64()) for c in _LONGS] + [("wide", pa.binary()), ("counts", pa.list_(pa.int64()))])
@@ -270,9 +266,8 @@ def _describe(n: int, bands: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new, counts = _New(), np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            texts = _texts(batch)
-            for a, b in chunks(texts, CHUNK_BYTES):
-                text, grams = shingle_sets(texts[a:b], n)
+            for a, b, texts in text_runs(batch.column(1), CHUNK_BYTES):
+                text, grams = shingle_sets(texts, n)
                 size = b - a
                 bits = SKETCH_WORDS * 64
                 odd = np.bincount(text * bits + (_mix(grams, _C) & np.uint64(bits - 1)).astype(np.int64), minlength=size * bits) & 1
@@ -289,7 +284,7 @@ def _describe(n: int, bands: Shared):
                     counts += np.bincount(_counter(sig), minlength=COUNTERS)
         yield pa.RecordBatch.from_pylist([{"counts": counts.tolist()}], schema=_SETS_ARROW)
 
-    return run
+    return lean(run)
 
 
 def _index(bands: Shared, n: int, level: int, heavy: Shared):
@@ -299,9 +294,8 @@ def _index(bands: Shared, n: int, level: int, heavy: Shared):
         new, last = _New(), level == LEVELS - 1
         row = lambda place, sig, k1: pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(sig, pa.int64()), pa.array(k1, pa.int64())], names=["place", "sig", "k1"])
         for batch in batches:
-            texts = _texts(batch)
-            for a, b in chunks(texts, CHUNK_BYTES):
-                text, grams = shingle_sets(texts[a:b], n)
+            for a, b, texts in text_runs(batch.column(1), CHUNK_BYTES):
+                text, grams = shingle_sets(texts, n)
                 key = _sums(text, _mix(grams, _A), b - a).view(np.int64)
                 used = new(key)[text]
                 text, grams = text[used], grams[used]
@@ -311,7 +305,7 @@ def _index(bands: Shared, n: int, level: int, heavy: Shared):
                 if unsafe.any() and not last:
                     yield row(np.full(int(unsafe.sum()), -1), key[unsafe], key[unsafe])
 
-    return run
+    return lean(run)
 
 
 def shingles_of(text: bytes | None, n: int = N) -> set[tuple[bytes, ...]]:

@@ -1,9 +1,10 @@
 """PII: format-preserving Feistel pseudonyms.
 
 Validated numbers and dates are permuted under a key within their own format: card numbers (Luhn) stay card numbers of
-the same length, IBANs keep their country and check out, telephone numbers keep their country code, social security
+the same length, IBANs keep their country and check out, telephone numbers keep their country code (by the list of calling
+codes, so that one number has one pseudonym however it is grouped), social security
 numbers and IPv4 addresses stay valid, dates stay dates; the names in e-mail addresses keep their pattern of letters and
-digits. Every value is the number of an element of a finite domain; a Feistel network on a * b >= n cells, walked until
+digits, their domains stay as they are. Every value is the number of an element of a finite domain; a Feistel network on a * b >= n cells, walked until
 it is back in the domain, is a permutation of it. So equal values get equal pseudonyms in all documents, different
 values different ones, and whoever has the key can undo it. Separators, brackets and letter case stay as they are.
 
@@ -128,6 +129,16 @@ def _card_like(k: int, other: int) -> Callable[[int], bool]:
     return valid
 
 
+# Calling codes of one and two digits; all others have three.
+CALLING = {"1", "7"} | set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+
+
+def calling_code(digits: str) -> str:
+    return next((digits[:k] for k in (1, 2) if digits[:k] in CALLING), digits[:3])
+
+
 def _valid_ssn(x: int) -> bool:
     area, group, serial = x // 10**6, x // 10**4 % 100, x % 10**4
     return area not in (0, 666) and area < 900 and group > 0 and serial > 0
@@ -197,9 +208,9 @@ class Pseudonyms:
     def phone(self, found: str) -> str | None:
         digits = re.sub(r"\D", "", found)
         if found.startswith("+"):
-            country = re.match(r"\+(\d{1,3})", found)[1]
+            country = calling_code(digits)
             rest = digits[len(country) :]
-            if not 8 <= len(digits) <= 15 or len(rest) < 6:
+            if not 8 <= len(digits) <= 15 or len(rest) < 6 or (country == "1" and len(rest) != 10):
                 return None
         else:
             country, rest = "1", digits

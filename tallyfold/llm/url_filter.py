@@ -2,9 +2,11 @@
 
 Rules are (host, path, verdict). A rule fits its host and every subdomain when the URL's path starts with the
 rule's path. Of the rules that fit, the one with the most host labels wins, then the one with the longest path; of
-two rules with the same host and path, `block` wins.
+two rules with the same host and path, `block` wins. Rule sets that are too large for a broadcast are joined on host
+suffixes, with the same checks, lower-casing and precedence.
 
-Defined cases: a null URL, or one without `://`, has the empty host and path and fits no rule; an empty path fits
+Defined cases: a rule without a host, with a path that doesn't begin with `/` or with another verdict raises; a null path
+of a rule is the empty one; a null URL, or one without `://`, has the empty host and path and fits no rule; an empty path fits
 only rules without a path; repeated rows are judged alike; an empty table gives an empty table; columns of the input
 named like the output column are replaced.
 """
@@ -18,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Shared
+from .common import Shared, cut, hot_join
 
 #: The trie is broadcast only up to so many rules (about 1 kB each at most); beyond, rules are joined.
 MAX_TRIE_RULES = 200_000
@@ -68,6 +70,7 @@ class Trie:
                 node = node.setdefault("segments", {}).setdefault(segment, {})
             ends = node.setdefault("ends", {})
             ends[rest] = self._better(ends.get(rest), (rest, rule))
+            node.setdefault("lengths", set()).add(len(rest))
 
     @staticmethod
     def _better(old, new):
@@ -80,8 +83,11 @@ class Trie:
         if path.startswith("/") and (at := node.get("paths")) is not None:
             segments = path[1:].split("/")
             for i, segment in enumerate(segments):
-                if fits := [x for x in at.get("ends", {}).values() if segment.startswith(x[0])]:
-                    found = max(fits, key=lambda x: len(x[0]))[1]
+                # a lookup for each length that rules end with here, however many rules there are
+                for size in sorted(at.get("lengths", ()), reverse=True):
+                    if size <= len(segment) and (hit := at["ends"].get(segment[:size])) is not None:
+                        found = hit[1]
+                        break
                 if i + 1 == len(segments) or (at := at.get("segments", {}).get(segment)) is None:
                     break
         return found or node.get("any", (None, None))[1]
@@ -108,13 +114,17 @@ def _judge(urls: pd.Series, trie: Trie, default: str) -> pd.DataFrame:
 
 
 def _check(rules: Iterable[Rule]) -> list[Rule]:
-    rules = [Rule(*r) for r in rules]
+    rules = [Rule(host, path or "", verdict) for host, path, verdict in rules]
     for r in rules:
         if r.verdict not in ("allow", "block") or not r.host or (r.path and r.path[0] != "/"):
             raise ValueError(f"not a rule: {r}")
     return rules
 
 
+def _lowered(host: Column) -> Column:
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
 def judge(df: DataFrame, rules: Iterable[Rule] | DataFrame, url: str = "url", out: str = "judgement", default: str = "allow", max_trie_rules: int = MAX_TRIE_RULES) -> DataFrame:
     """`df` with a struct column `out` (host, path, rule, verdict); verdict is `default` where no rule fits.
 
@@ -149,30 +159,37 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     slash = F.instr(rest, "/")
     host = F.when(slash > 0, F.substr(rest, F.lit(1), slash - 1)).otherwise(rest)
     path = F.when(slash > 0, F.substr(rest, slash)).otherwise("")
-    host = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))
+    return F.coalesce(_lowered(host), F.lit("")), F.coalesce(path, F.lit(""))
 
 
 def judge_by_join(df: DataFrame, rules: DataFrame, url: str = "url", out: str = "judgement", default: str = "allow") -> DataFrame:
     """The same judgements for rule sets of any size: distinct (host, path) pairs meet the rules on host suffixes.
 
-    The work per URL is its number of host labels times the rules of one host; nothing is broadcast by hand.
+    The work per URL is its number of host labels times the rules of one host. URLs without a host meet nothing, and the
+    judgements of pairs that many rows have are broadcast, a bounded number.
     """
-    host, path = url_parts(F.col(url).cast("string"))
-    seen = df.select(host.alias("h"), path.alias("p")).distinct()
-    labels = F.split("h", r"\.")
+    rules = cut(rules.select("host", F.coalesce("path", F.lit("")).alias("path"), "verdict"))
+    valid = F.coalesce(F.col("verdict").isin("allow", "block") & (F.col("host") != "") & ((F.col("path") == "") | F.startswith("path", F.lit("/"))), F.lit(False))
+    if (wrong := rules.where(~valid).first()) is not None:
+        raise ValueError(f"not a rule: {Rule(*wrong)}")
+    names = [f"__{i}" for i in range(len(df.columns))]
+    host, path = url_parts(F.col(names[df.columns.index(url)]).cast("string"))
+    rows = df.toDF(*names).withColumns({"__host": host, "__path": path})
+    seen = rows.where("__host <> ''").groupBy("__host", "__path").agg(F.count("*").alias("__copies"))
+    labels = F.split("__host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    tried = seen.where("h <> ''").select("h", "p", F.explode(suffixes).alias("suffix"))
-    own = rules.select(F.lower("host").alias("suffix"), F.col("path").alias("rule_path"), F.concat("host", "path").alias("rule"), "verdict")
-    best = F.struct(F.length("suffix"), F.length("rule_path"), (F.col("verdict") == "block").cast("int").alias("b"))
+    tried = seen.select("__host", "__path", "__copies", F.explode(suffixes).alias("suffix"))
+    own = rules.select(_lowered(F.col("host")).alias("suffix"), F.col("path").alias("rule_path"), F.concat("host", "path").alias("rule"), "verdict")
+    best = F.struct(F.length("suffix"), F.length("rule_path"), (F.col("verdict") == "block").cast("int"))
     won = (
         tried.join(own, "suffix")
-        .where(F.col("p").startswith(F.col("rule_path")))
-        .groupBy("h", "p")
-        .agg(F.max_by(F.struct("rule", "verdict"), best).alias("won"))
+        .where(F.col("__path").startswith(F.col("rule_path")))
+        .groupBy("__host", "__path")
+        .agg(F.max("__copies").alias("__copies"), F.max_by(F.struct("rule", "verdict"), best).alias("__won"))
     )
-    judged = seen.join(won, ["h", "p"], "left").select("h", "p", F.struct(F.col("h").alias("host"), F.col("p").alias("path"), F.col("won.rule").alias("rule"), F.coalesce("won.verdict", F.lit(default)).alias("verdict")).alias("__judged"))
-    return df.withColumns({"__h": host, "__p": path}).join(judged, (F.col("__h") == F.col("h")) & (F.col("__p") == F.col("p"))).drop("__h", "__p", "h", "p", *([out] if out in df.columns else [])).withColumnRenamed("__judged", out)
+    judged = hot_join(rows, cut(won), ["__host", "__path"], "__copies")
+    verdict = F.struct(F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__won.rule").alias("rule"), F.coalesce("__won.verdict", F.lit(default)).alias("verdict"))
+    return judged.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True) if c != out], verdict.alias(out))
 
 
 #: Fixed values of the contract.

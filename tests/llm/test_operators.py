@@ -152,6 +152,48 @@ def test_quality_without_usable_labels(spark):
     assert kept.columns == ["doc_id", "text", "lang", "score"] and kept.count() == 3
 
 
+def test_gradients_are_finite_differences():
+    rng = np.random.default_rng(2)
+    x, per, y = rng.standard_normal((9, quality.INPUTS)) / 3, np.array([2, 1, 4, 2]), np.array([1, 0, 1, 0])
+    weight = np.array([0.5, 1.0, 0.7, 0.2])
+    model = quality.fit_bags(x.astype(np.float32), per, y, epochs=3)
+    p = model.weights = {k: np.asarray(v, np.float64) for k, v in model.weights.items()}
+
+    def loss():
+        z = model.forward(x, per)["logit"]
+        return float((weight * (np.log1p(np.exp(z)) - y * z)).sum())
+
+    grads = model.gradients(x, per, y, weight)
+    for k in p:
+        for i in {int(j) for j in rng.integers(0, p[k].size, 6)}:
+            old = p[k].flat[i]
+            p[k].flat[i] = old + 1e-5
+            up = loss()
+            p[k].flat[i] = old - 1e-5
+            slope = (up - loss()) / 2e-5
+            p[k].flat[i] = old
+            assert abs(slope - np.asarray(grads[k]).flat[i]) < 1e-5 * max(1, abs(slope))
+
+
+def test_slabs_are_passages(monkeypatch):
+    rng = random.Random(3)
+    text = ("  \n" + " \t".join(rng.choice(["a", "bb", "née", "bb", "word"]) for _ in range(2_000)) + "  ").encode()
+    whole, per = quality.passages([text], 7)
+    monkeypatch.setattr(quality, "LONG_BYTES", 101)
+    assert np.array_equal(np.concatenate(list(quality.slabs(text, 7, 3))), whole) and per[0] == len(whole)
+    for odd in (b"", b"   ", b"x", b"x " * 21):
+        assert np.array_equal(np.concatenate(list(quality.slabs(odd, 7, 3))), quality.passages([odd], 7)[0])
+    x = quality.inputs(whole)
+    model = quality.fit_bags(x, np.array([len(x) - 9, 9]), np.array([0, 1]), epochs=2)
+    monkeypatch.setattr(quality, "SLAB", 5)
+    whole, per = quality.passages([text])
+    want = model.forward(quality.inputs(whole), per)
+    logit, weights = model.pooled(text)
+    assert abs(logit - want["logit"][0]) < 1e-4 and np.allclose(weights, want["a"], atol=1e-5)
+    scores, attention = model.score([b"a b", text, b""])
+    assert abs(scores[1] - 1 / (1 + np.exp(-logit))) < 1e-6 and len(attention[1]) == len(whole)
+
+
 def test_gradients():
     rng = np.random.default_rng(0)
     x, per, y = (rng.standard_normal((12, quality.INPUTS)) / 2).astype(np.float32), np.array([3, 1, 5, 3]), np.array([1, 0, 1, 0])
@@ -323,6 +365,27 @@ def test_packing(spark):
 
 # 7 URL filters
 
+def test_rules_by_trie_and_by_join_agree(spark):
+    """Any rules, any URLs: both ways give the same, with the same checks and any columns."""
+    rng = random.Random(8)
+    hosts = ["net", "a.net", "Ä.net", "ä.net", "b.a.net", "org", "x..org", "NET"]
+    paths = ["", "/", "/e", "/en", "/en/", "/en/x", "/d", "/\u00c4"]
+    rules = [url_filter.Rule(rng.choice(hosts), rng.choice(paths), rng.choice(["allow", "block"])) for _ in range(40)]
+    rules = list({(r.host.translate({c: c + 32 for c in range(65, 91)}), r.path): r for r in rules}.values())
+    urls = [f"http://{rng.choice(['', 'q.', 'A.'])}{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'x', '/y', '?z', '#', '/en'])}" for _ in range(200)] + [None, "", "x://", "x:///en"]
+    df = spark.createDataFrame([(i, u, "h", "p", "s") for i, u in enumerate(urls)], "page_id long, url string, h string, p string, suffix string")
+    frame = url_filter.rules_frame(spark, rules)
+    one = url_filter.judge(df, frame).orderBy("page_id").collect()
+    two = url_filter.judge(df, frame, max_trie_rules=1)
+    assert two.columns == [*df.columns, "judgement"] and two.orderBy("page_id").collect() == one
+    for wrong in [("net", "x", "block"), ("", "/", "block"), ("net", "/", "no"), (None, "/", "allow")]:
+        for most in (1, 100):
+            with pytest.raises(ValueError):
+                url_filter.judge(df, url_filter.rules_frame(spark, [wrong, *rules]), max_trie_rules=most)
+    for most in (1, 100):
+        assert url_filter.judge(df.limit(0), frame, max_trie_rules=most).count() == 0
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://NET/", "http://net", "https://a.net/x", "https://a.example.net/en/1?q#f", "https://example.net/english", "http://x.org/fr/", "http://x.org/fr", "http://example.com/de/?a", "http://evilexample.com/de/", "a://b.net?x=/y", "http://example.net/en/"]
     df = spark.createDataFrame([(i, u, "old") for i, u in enumerate(urls * 2)], "page_id long, url string, judgement string")
@@ -408,6 +471,40 @@ def test_pii_beside_other_words(text, gone, kept):
     assert pii.replace(new, pii.Pseudonyms(b"key", undo=True))[0] == text
 
 
+@pytest.mark.parametrize(("one", "other"), [("+49 171 1234567", "+491711234567"), ("+1 202 555 0143", "+12025550143"), ("+353 85 123 4567", "+353851234567"), ("+1 (202) 555-0143", "(202) 555-0143")])
+def test_equal_phones_stay_linked(one, other):
+    by = pii.Pseudonyms(b"key")
+    new = [pii.replace(f"call {x} 20 km", by)[0] for x in (one, other)]
+    digits = ["".join(c for c in x if c.isdigit()) for x in new]
+    assert all(x.endswith(" 20 km") for x in new) and digits[0][-11:] != "".join(c for c in one if c.isdigit())
+    assert digits[0].endswith(digits[1]) and pii.replace(new[0], pii.Pseudonyms(b"key", undo=True))[0] == f"call {one} 20 km"
+
+
+def test_pii_of_an_empty_table(spark):
+    assert pii.pseudonymize(docs(spark, []), b"key").count() == 0
+
+
+def test_generated_values_are_all_found():
+    """An independent list of what was written, beside prose and other numbers."""
+    rng = random.Random(12)
+    by = pii.Pseudonyms(b"key")
+    for _ in range(300):
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card = next(body + c for c in "0123456789" if pii.luhn(body + c))
+        country, rest = rng.choice([("AT", 16), ("DE", 18), ("ES", 20), ("NO", 11), ("FR", 23)])
+        rest = "".join(rng.choice("0123456789") for _ in range(rest))
+        iban = f"{country}{98 - int(''.join(str(int(c, 36)) for c in rest + country + '00')) % 97:02d}{rest}"
+        ssn, ip = f"{rng.randrange(1, 600):03d}-{rng.randrange(1, 99):02d}-{rng.randrange(1, 9999):04d}", ".".join(str(rng.randrange(256)) for _ in range(4))
+        values = [card, " ".join(card[i : i + 4] for i in range(0, 16, 4)), iban, " ".join(iban[i : i + 4] for i in range(0, len(iban), 4)), ip, f"ab{rng.randrange(99)}@x.org"] + [ssn] * (not ssn.startswith("6"))
+        rng.shuffle(values)
+        words = ["and", "is", "on", "12/26", "7", "items", "v2", "del"]
+        text = "".join(f"{rng.choice(words)} {v} " for v in values) + rng.choice(words)
+        new, found = pii.replace(text, by)
+        # one digit of an address may stay what it was; the others are long
+        assert not [v for v in values if v != ip and v in new] and sum(found.values()) >= len(values)
+        assert pii.replace(new, pii.Pseudonyms(b"key", undo=True))[0] == text
+
+
 def test_pii_undone_in_context():
     rng = random.Random(3)
     for i in range(500):
@@ -421,8 +518,8 @@ def test_pii_undone_in_context():
 
 def test_fit_takes_all_passages():
     batch = pa.RecordBatch.from_pydict({"label": pa.array([0], pa.int32()), "text": pa.array(["word " * 64 * 40])})
-    counts = next(quality._counted(iter([batch]))).column(1)[0].as_py()
-    assert len(counts) == 40 * quality.INPUTS * 2
+    x = next(quality._encoded(iter([batch]))).column(1)[0].as_py()
+    assert len(x) == 40 * quality.INPUTS * 2
 
 
 @pytest.mark.parametrize("n", [1, 2, 7, 100, 1009])

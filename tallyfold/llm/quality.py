@@ -109,8 +109,11 @@ def slabs(text: bytes, words: int = PASSAGE_WORDS, size: int = SLAB) -> Iterator
         if before is not None:
             counts[0, -2] += spelt(own[0]) == before
         if b < len(text):
-            counts[-1, 256 + _PAIR[(int(data[b - 1]) << 8) | int(data[b])]] += 1
-            counts[-1, ord("\n")] -= 1  # passages() ends every text so
+            # passages() ends what it is given with a line end; here the text goes on
+            end = int(data[b - 1]) << 8
+            counts[-1, ord("\n")] -= 1
+            counts[-1, 256 + _PAIR[end | ord("\n")]] -= 1
+            counts[-1, 256 + _PAIR[end | int(data[b])]] += 1
             before = spelt(text[a:b].rsplit(None, 1)[-1])
         yield counts
 

@@ -1,10 +1,14 @@
-"""Line dedup: an exact set-similarity join of lines, in native Spark functions.
+"""Line dedup: an exact set-similarity join of lines.
+
+Words are split, counted and ordered with numpy over Arrow batches; joins, filters and verification are native. A wholly
+native form gave the same results, but at 528 CPU seconds a GB (see the README) most of it went into array functions that
+are not compiled.
 
 A line is the set of its lower-cased words. A line goes when any earlier line (by document id, then line number) has the
 same set or one of Jaccard similarity of at least 0.8; earlier lines count whether or not they stay themselves.
 
 Words are ordered by rarity: by their count in the whole corpus, in classes of a quarter of a power of two, then by
-hash. Counts are kept in a table of hash buckets of fixed size (a count sketch of one row), which travels with the plan;
+hash. Counts are kept in a table of hash buckets of fixed size (a count sketch of one row, a byte each), which is broadcast;
 a bucket that is shared by several words only makes them seem more frequent: the order stays one and the same for all
 lines, so the join stays exact. Two sets of similarity 0.8 share a word among the first n - ceil(0.8 n) + 1 of each (prefix
 filter); sizes must be compatible (length filter), what follows the shared word must suffice for the overlap (positional
@@ -27,16 +31,22 @@ untouched, but with `counts` the columns n_lines and n_removed replace those of
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import Tables, cut, few, hot_join
+from .common import Shared, Tables, cut, few, hot_join, lean, text_runs
+from .decontaminate import Words
 from .sharding import numbered
 
 #: The threshold is NUM / DEN.
 NUM, DEN = 4, 5
 #: Entries of the table of counts: a constant, however large the corpus is.
-BUCKETS = 1 << 18
+BUCKETS = 1 << 20
 _PART = 1 << 10
 #: Words at the begin, in the middle and at the end of a line under which copies find an earlier line first.
 ENDS = 6
@@ -62,26 +72,97 @@ def hashes_of(line: Column) -> Column:
     return F.array_remove(F.transform(words_of(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
 
 
-def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> str:
-    """For each bucket of word hashes, separated by commas: 1 + 4 log2 of the count of its words, at most 126."""
-    words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
-    counts = words.groupBy(_bucket(F.col("w"), buckets).alias("id")).agg(F.count("*").alias("c"))
-    level = F.least(F.lit(126), 1 + F.floor(4 * F.log2(F.coalesce("c", F.lit(1)))).cast("int"))
-    spelt = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("id")).join(counts, "id", "left").select("id", level.cast("string").alias("x"))
-    parts = spelt.groupBy(F.floor(F.col("id") / _PART).alias("part")).agg(F.sort_array(F.collect_list(F.struct("id", "x"))).alias("xs"))
-    rows = parts.select("part", F.array_join(F.transform("xs", lambda s: s["x"]), ",").alias("levels")).collect()
-    return ",".join(r["levels"] for r in sorted(rows, key=lambda r: r["part"]))
+#: Bytes of text that are handled at once (a single longer text is taken whole).
+CHUNK_BYTES = 500_000
+_IS_WORD = np.ones(256, bool)
+_IS_WORD[[10, 32]] = False
+_ONE, _TWO, _THREE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+
+
+def _mixed(x: np.ndarray, by: np.uint64) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * by
+    return x ^ (x >> np.uint64(29))
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mixed(hashes, _THREE) & np.uint64(buckets - 1)).astype(np.int64)
+
+
+def _counter(buckets: int):
+    """(bucket, count) of the words of a task's texts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for _, _, texts in text_runs(batch.column(0), CHUNK_BYTES):
+                counts += np.bincount(_bucket(Words(texts, _IS_WORD, b"\n").hash, buckets), minlength=buckets)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], names=["id", "c"])
 
-def _bucket(word: Column, buckets: int) -> Column:
-    return F.hash(word).bitwiseAND(F.lit(buckets - 1))
+    return lean(run)
+
+
+def rarity(docs: DataFrame, text: str, buckets: int = BUCKETS) -> np.ndarray:
+    """For each bucket of word hashes 1 + 4 log2 of the count of its words, at most 126, and 0 for no words."""
+    counts = docs.select(text).mapInArrow(_counter(buckets), "id int, c long").groupBy("id").agg(F.sum("c").alias("c"))
+    level = F.least(F.lit(126), 1 + F.floor(4 * F.log2("c")).cast("int"))
+    parts = counts.groupBy(F.floor(F.col("id") / _PART).alias("part")).agg(F.sort_array(F.collect_list(F.struct("id", level.alias("x")))).alias("xs"))
+    out = np.zeros(buckets, np.uint8)
+    for r in parts.select(F.array_join(F.transform("xs", lambda x: x["id"]), ",").alias("ids"), F.array_join(F.transform("xs", lambda x: x["x"]), ",").alias("levels")).toLocalIterator():
+        out[np.array(r.ids.split(","), np.int64)] = np.array(r.levels.split(","), np.int64)
+    return out
+
+
+def _line_fields(doc: T.DataType) -> T.StructType:
+    longs = ["line", "h1", "h2", "n", "odd", "head", "middle", "tail"]
+    return T.StructType([T.StructField("doc", doc), *[T.StructField(c, T.LongType()) for c in longs], T.StructField("prefix", T.ArrayType(T.LongType()))])
+
+
+def _run_of(hashes: np.ndarray, first: np.ndarray, count: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of the `count` words from `first` on, at most ENDS."""
+    out = np.full(len(first), salt, np.uint64)
+    for j in range(ENDS):
+        there = j < count
+        out[there] = _mixed(out[there] + hashes[first[there] + j], _ONE)
+    return out
 
 
-def codes_of(words: Column, levels: str, buckets: int) -> Column:
-    """Words as numbers that sort by rarity: the class in the highest byte, 56 bits of a hash below."""
-    known = F.split(F.lit(levels), ",").cast("array<tinyint>")  # a constant, folded once
-    code = lambda w: F.shiftleft(F.coalesce(F.get(known, _bucket(w, buckets)).cast("long"), F.lit(0).cast("long")), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
-    return F.array_remove(F.transform(words, code), code(F.lit("")))
+def _described(levels: Shared):
+    """The fields of every line with words: its set's hashes, size and sketch, hashes of its ends, and its rarest words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, bases = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+            for a, _, texts in text_runs(batch.column(2), CHUNK_BYTES):
+                words = Words(texts, _IS_WORD, b"\n")
+                if not len(words.hash):
+                    continue
+                line = np.searchsorted(np.flatnonzero(words.bytes == 10), words.start)
+                before = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
+                opens = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+                lines, text = line[opens], words.text[opens]
+                total = np.diff(np.append(opens, len(line)))
+                h = words.hash
+                ends = [_run_of(h, opens, total, 1), _run_of(h, opens + np.maximum((total - ENDS) // 2, 0), total, 2), _run_of(h, opens + np.maximum(total - ENDS, 0), total, 3)]
+
+                code = (levels.value[_bucket(h, len(levels.value))].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+                at = np.repeat(np.arange(len(opens)), total)
+                order = np.lexsort((code, at))
+                at, code = at[order], code[order]
+                new = np.concatenate([[True], (at[1:] != at[:-1]) | (code[1:] != code[:-1])])
+                at, code = at[new], code[new]
+                n = np.bincount(at, minlength=len(opens))
+                first = np.cumsum(n) - n
+                h1, h2 = (np.add.reduceat(_mixed(code, by), first) for by in (_ONE, _TWO))
+                odd = np.bitwise_xor.reduceat(np.uint64(1) << (_mixed(code, _TWO) & np.uint64(63)), first)
+                longest = np.where(n >= 4, n - (n * NUM + DEN - 1) // DEN + 1, 0)
+                kept = np.arange(len(code)) - np.repeat(first, n) < np.repeat(longest, n)
+                prefix = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(longest)]).astype(np.int32), pa.array(code[kept].view(np.int64)))
+                longs = [bases[a + text] + lines - before[text], h1, h2, n, odd, *ends]
+                columns = [docs.take(pa.array(a + text)), *[pa.array(x.astype(np.uint64).view(np.int64)) for x in longs], prefix]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "line", "h1", "h2", "n", "odd", "head", "middle", "tail", "prefix"])
+
+    return lean(run)
 
 
 #: The numbers of one bit each: a lookup is cheaper than a shift, which is not compiled here.
@@ -89,7 +170,7 @@ _BITS = [1 << i if i < 63 else -(1 << 63) for i in range(64)]
 
 
 def odd_sketch(codes: Column, part: int | None = None) -> Column:
-    """64 bits, each the parity of the codes that fall on it; with `part` only the codes of that quarter of the universe."""
+    """64 bits, each the parity of the hashes that fall on it; with `part` only those of that quarter of the universe."""
     bits = F.array(*[F.lit(b).cast("long") for b in _BITS])
     bit = lambda c: F.get(bits, c.bitwiseAND(F.lit(63)).cast("int"))
     if part is not None:
@@ -192,17 +273,11 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     own = docs.where("doc is not null and text is not null").select("doc", "base", plain(F.col("text").cast("string")).alias("text"))
     if repeated:
         own = own.dropDuplicates(["doc", "base"])
-    levels = rarity(own, "text", buckets)
-    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).select("doc", (F.col("base") + F.col("at")).alias("line"), codes_of(words_of(F.col("text")), levels, buckets).alias("h"))
-    middle = F.greatest(F.floor((F.size("h") - ENDS) / 2).cast("int") + 1, F.lit(1))
-    ends = {"head": F.lit(1), "middle": middle, "tail": F.greatest(F.size("h") - (ENDS - 1), F.lit(1))}
-    ends = [F.xxhash64(F.lit(i), F.slice("h", at, F.lit(ENDS))).alias(k) for i, (k, at) in enumerate(ends.items())]
-    coded = split.where(F.size("h") > 0).select("doc", "line", *ends, F.sort_array(F.array_distinct("h")).alias("codes"))
-    n = F.size("codes")
-    odd = odd_sketch(F.col("codes"))
-    prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
+    own_lower = own.select("doc", "base", F.lower("text").alias("lower"))
+    levels = Shared(docs.sparkSession, rarity(own_lower, "lower", buckets))  # a byte for each bucket
     kept = Tables(docs.sparkSession)
-    lines = kept.keep(coded.select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), *[k for k in ("head", "middle", "tail")], prefix.alias("prefix")), "lines")
+    fields = _line_fields(own.schema["doc"].dataType)
+    lines = kept.keep(own_lower.mapInArrow(_described(levels), fields), "lines")
 
     # equal sets: all but the first go; the first stands for its class
     place = F.struct("doc", "line")

@@ -11,13 +11,16 @@ equal sketches; only the named columns are read.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 K = 256
 SHINGLE = 5
-#: Rows of a range of keys, about, within which neighbours are found, and the most such ranges.
-RANGE_ROWS, MAX_RANGES = 2_000, 4_096
+#: Rows of a range of keys, about, within which neighbours are found, and the most such ranges (two numbers each on the driver;
+#: beyond some 130 million documents ranges grow, sorted in one task each, which spills).
+RANGE_ROWS, MAX_RANGES = 2_000, 65_536
 
 NO_HASHES = "array<bigint>"
 
@@ -82,6 +85,17 @@ def as_text(sketch: Column) -> Column:
     return F.translate(F.base64(F.unhex(F.array_join(F.transform(sketch, lambda x: F.lpad(F.hex(x), 16, "0")), ""))), "\r\n", "")
 
 
+def _range_of(key: Column, cuts: list[int]) -> Column:
+    """How many of the sorted `cuts` are not above `key`: looked up in blocks of about their square root."""
+    if not cuts:
+        return F.lit(0)
+    step = math.isqrt(len(cuts)) + 1
+    array = lambda of: F.split(F.lit(",".join(map(str, of))), ",").cast(NO_HASHES)
+    upto = lambda some: F.size(F.filter(some, lambda c: c <= key))
+    block = F.greatest(upto(array(cuts[::step])) - 1, F.lit(0))
+    return block * step + upto(F.slice(array(cuts), block * step + 1, F.lit(step)))
+
+
 def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_") -> tuple[DataFrame, Window]:
     """Rows ordered by `key` in ranges, ready for lead(): (the rows with __range and __guest, the window).
 
@@ -93,8 +107,7 @@ def with_next(df: DataFrame, key: str, columns: list[str], prefix: str = "next_"
     ranges = max(1, min(MAX_RANGES, rows // RANGE_ROWS))
     cuts = df.agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0] if ranges > 1 else []
     cuts = sorted(set(cuts or []))
-    number = F.size(F.filter(F.split(F.lit(",".join(map(str, cuts))), ",").cast(NO_HASHES), lambda c: c <= F.col(key))) if cuts else F.lit(0)
-    own = df.select(key, *columns, F.coalesce(number, F.lit(0)).alias("__range"))
+    own = df.select(key, *columns, F.coalesce(_range_of(F.col(key), cuts), F.lit(0)).alias("__range"))
     firsts = sorted((r["__range"], r["first"]) for r in own.groupBy("__range").agg(F.min(key).alias("first")).collect())
     before = {r: firsts[i - 1][0] for i, (r, _) in enumerate(firsts)}
     size = len(cuts) + 1

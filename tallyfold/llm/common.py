@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.sources.store import scratch, shared_dir
+from tallyfold.sources.store import release, scratch, shared_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -27,16 +27,10 @@ def cut(df: DataFrame) -> DataFrame:
     shared_dir(spark)
     out = df.checkpoint(eager=True)
     del df
-    _release(spark)
+    release(spark)
     return out
 
 
-def _release(spark: SparkSession) -> None:
-    """Lets Spark find what is no longer referred to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def sharing(df: DataFrame, per_task: int, rows: int) -> int:
     """How many salts keep a group of `rows` rows below `per_task` rows each."""
     return max(1, -(-rows // per_task))
@@ -127,7 +121,7 @@ def table(df: DataFrame, kind: str) -> DataFrame:
     path, schema = scratch(spark, kind), df.schema
     df.write.parquet(path)
     del df
-    _release(spark)
+    release(spark)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -1,7 +1,8 @@
-"""Connected components of links, by alternating large-star and small-star steps on DataFrames."""
+"""Connected components of links: of few on the driver, else by alternating large-star and small-star steps on DataFrames."""
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,28 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+#: Links that the driver joins itself, some 20 MB; every round on DataFrames plans and compiles several steps there.
+FEW_LINKS = 100_000
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """components() of few links, by union-find with the smallest node as the root."""
+    found = edges.toArrow()
+    above: dict = {}
+
+    def root(x):
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = x = above[up]
+        return x
+
+    for a, b in zip(*(c.to_pylist() for c in found.columns), strict=True):
+        low, high = sorted((root(a), root(b)))
+        above[high] = low
+    nodes = list(above)
+    kind = found.schema.field(0).type
+    return edges.sparkSession.createDataFrame(pa.table({"node": pa.array(nodes, kind), "component": pa.array([root(x) for x in nodes], kind)}))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of `links`; component is the smallest node that it reaches.
 
@@ -33,6 +56,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     grows with the logarithm of the longest chain. Links with a null end or to themselves are ignored.
     """
     edges = cut(links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct())
+    if edges.limit(FEW_LINKS + 1).count() <= FEW_LINKS:
+        return _joined(edges)
     state = None
     while True:
         edges = cut(_small_star(cut(_large_star(edges))))

@@ -572,3 +572,19 @@ def test_warc(spark, tmp_path, monkeypatch, limit):
 
 def test_sha_of_joined_items():
     assert decontaminate.sha256_of(["1", "10", "2"]) == hashlib.sha256(b"1,10,2").hexdigest()
+
+
+def test_components_of_few_links_take_few_jobs(spark, monkeypatch):
+    from tallyfold.llm import components as module
+
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 70), (80, 90), (5, 5), (None, 6)], "a long, b long")
+    spark.sparkContext.setJobGroup("few-links", "few links")
+    got = module.components(links)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    want = {(i, 0) for i in range(41)} | {(i, 70) for i in (70, 80, 90)}
+    assert {tuple(r) for r in got.collect()} == want and got.count() == len(want) and jobs <= 8
+    monkeypatch.setattr(module, "FEW_LINKS", 3)
+    many = module.components(links)
+    assert {tuple(r) for r in many.collect()} == want and many.dtypes == got.dtypes
+    assert module.components(links.where("a is null")).count() == 0

@@ -8,8 +8,8 @@ hash. Counts are kept in a table of hash buckets of fixed size (a count sketch o
 a bucket that is shared by several words only makes them seem more frequent: the order stays one and the same for all
 lines, so the join stays exact. Two sets of similarity 0.8 share a word among the first n - ceil(0.8 n) + 1 of each (prefix
 filter); sizes must be compatible (length filter), what follows the shared word must suffice for the overlap (positional
-filter), and 64-bit odd sketches, whose differing bits are a lower bound of the sets' difference, must allow it.
-Candidates are verified on the words themselves.
+filter), and odd sketches of 64 bits, of 128 for lines of more than LONG words, whose differing bits are a lower bound of
+the sets' difference, must allow it: 64 bits say nothing of sets that may differ in 32 words. Candidates are verified on the words themselves.
 
 Equal sets are one class from the start. Classes are first compared with the earliest one that has the same words at its
 begin, middle or end; most near copies find an earlier match there and look no further. All others are joined with all
@@ -98,6 +98,25 @@ def odd_sketch(codes: Column, part: int | None = None) -> Column:
     return F.aggregate(codes, F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(bit(c)))
 
 
+#: Sets of more words have sketches of 128 bits, in two halves.
+LONG = 48
+
+
+def sketches(codes: Column) -> list[Column]:
+    """`odd` and `odd2`: of a long set the two halves of a sketch of 128 bits, else one of 64 bits and 0. XOR folds the halves to 64."""
+    half = lambda i: F.aggregate(codes, F.lit(0).cast("long"), lambda acc, c: acc.bitwiseXOR(F.get(tables[i], c.bitwiseAND(F.lit(127)).cast("int"))))
+    tables = [F.array(*[F.lit(b).cast("long") for b in t]) for t in (_BITS + [0] * 64, [0] * 64 + _BITS)]
+    long = F.size(codes) > LONG
+    return [F.when(long, half(0)).otherwise(odd_sketch(codes)).alias("odd"), F.when(long, half(1)).otherwise(F.lit(0).cast("long")).alias("odd2")]
+
+
+def _differing(x: str, y: str) -> Column:
+    """The differing bits of two sketches; if only one is of 128 bits, it is folded."""
+    a, b = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("odd", "odd2"))
+    both = (F.abs(F.col(f"{x}.n")) > LONG) & (F.abs(F.col(f"{y}.n")) > LONG)
+    return F.when(both, F.bit_count(a) + F.bit_count(b)).otherwise(F.bit_count(a.bitwiseXOR(b)))
+
+
 def _needed(a: Column, b: Column) -> Column:
     """The least overlap of two sets of sizes a and b."""
     return F.ceil((a + b) * NUM / (NUM + DEN) - 1e-9)
@@ -106,8 +125,7 @@ def _needed(a: Column, b: Column) -> Column:
 def _allowed(x: str, y: str) -> Column:
     """Length and sketch filter; a negative size of x lets nothing pass."""
     a, b = F.col(f"{x}.n"), F.abs(F.col(f"{y}.n"))
-    apart = F.bit_count(F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd")))
-    return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (apart <= a + b - 2 * _needed(a, b))
+    return (F.least(a, b) * DEN >= F.greatest(a, b) * NUM) & (_differing(x, y) <= a + b - 2 * _needed(a, b))
 
 
 def _enough(x: str, y: str) -> Column:
@@ -166,7 +184,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, kept: Tables) -> DataFrame:
 
 def _apart(x: str, y: str) -> Column:
     """How unlike two lines look: differing bits of their sketches for their size."""
-    return F.bit_count(F.col(f"{x}.odd").bitwiseXOR(F.col(f"{y}.odd"))) / (F.col(f"{x}.n") + F.abs(F.col(f"{y}.n")))
+    return _differing(x, y) / (F.col(f"{x}.n") + F.abs(F.col(f"{y}.n")))
 
 
 def identified(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, bool]:
@@ -199,10 +217,9 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     ends = [F.xxhash64(F.lit(i), F.slice("h", at, F.lit(ENDS))).alias(k) for i, (k, at) in enumerate(ends.items())]
     coded = split.where(F.size("h") > 0).select("doc", "line", *ends, F.sort_array(F.array_distinct("h")).alias("codes"))
     n = F.size("codes")
-    odd = odd_sketch(F.col("codes"))
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
     kept = Tables(docs.sparkSession)
-    lines = kept.keep(coded.select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), odd.alias("odd"), *[k for k in ("head", "middle", "tail")], prefix.alias("prefix")), "lines")
+    lines = kept.keep(coded.select("doc", "line", F.xxhash64("codes").alias("h1"), F.xxhash64(F.lit(1), "codes").alias("h2"), n.alias("n"), *sketches(F.col("codes")), *[k for k in ("head", "middle", "tail")], prefix.alias("prefix")), "lines")
 
     # equal sets: all but the first go; the first stands for its class
     place = F.struct("doc", "line")
@@ -212,7 +229,7 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     classes = lines.where("n >= 4").join(few(again, BROADCAST_LINES), ["doc", "line"], "left_anti")
 
     # the earliest document of an end, then its earliest line: sums of plain numbers, so combined before the shuffle
-    row = ["doc", "line", "n", "odd"]
+    row = ["doc", "line", "n", "odd", "odd2"]
     ends = classes.select(*row, F.explode(F.array("head", "middle", "tail")).alias("end"))
     shared = cut(ends.groupBy("end").agg(F.min("doc").alias("first"), F.count("*").alias("copies")).where("copies > 1"))
     small = shared.limit(BROADCAST_LINES + 1).count() <= BROADCAST_LINES
@@ -228,7 +245,7 @@ def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
     flagged = classes.join(few(done, BROADCAST_LINES), ["doc", "line"], "left")
     # a class that has its match gets a negative size, which lets it be found but not look any further; that test is part
     # of the length filter, which sees both sides, so that one shuffle serves both
-    rows = flagged.select("doc", "line", F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n"), "odd", F.posexplode("prefix").alias("p", "code"))
+    rows = flagged.select("doc", "line", F.when(F.col("done"), -F.col("n")).otherwise(F.col("n")).alias("n"), "odd", "odd2", F.posexplode("prefix").alias("p", "code"))
     x, y = rows.alias("x"), rows.alias("y")
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line") < F.col("x.line")))
     met = x.join(y, F.col("x.code") == F.col("y.code")).where(_allowed("x", "y") & _enough("x", "y") & earlier)

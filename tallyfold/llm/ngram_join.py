@@ -428,9 +428,8 @@ class _Join:
         return self.bands.low
 
     def check(self, candidates: DataFrame) -> None:
-        """Verifies pairs of classes (x, y), adds their links and works out the components."""
-        near = candidates.where(_close("x", "y", self.percent))
-        near = near.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).distinct()
+        """Verifies pairs of classes (x, y) that pass _close(), adds their links and works out the components."""
+        near = candidates.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), F.col("x.n").alias("m"), F.col("y.n").alias("n")).distinct()
         if self.tried is not None:
             near = near.join(self.tried, ["a", "b"], "left_anti")
         near = cut(near)
@@ -447,19 +446,30 @@ class _Join:
         self.label = cut(components(self.links))
 
     def sides(self, pairs: DataFrame) -> DataFrame:
-        """(x, y): classes of pairs of set hashes (k, l)."""
+        """(x, y): classes of pairs of set hashes (k, l) that may link."""
         one = self.classes.where("rep is not null").select(F.col("k1").alias("k"), self.node.alias("x"))
         two = one.select(F.col("k").alias("l"), F.col("x").alias("y"))
-        return pairs.join(one, "k").join(two, "l").select("x", "y").where("x.rep <> y.rep")
+        return pairs.join(one, "k").join(two, "l").select("x", "y").where(F.expr("x.rep <> y.rep") & _close("x", "y", self.percent))
+
+    def met(self, groups: DataFrame) -> DataFrame:
+        """(x, y): classes of different components that share a signature and may link.
+
+        Sizes and sketches travel with the signatures and are part of the join, so that no pair is made to be dropped.
+        """
+        narrow = [c for c in self.classes.columns if c not in ("k1", "k2", "copies")]
+        rows = cut(groups.select("sig", "label", "rep").join(self.classes.where("rep is not null").select(*narrow), "rep"))
+        x, y = rows.alias("x"), rows.alias("y")
+        both = x.join(y, (F.col("x.sig") == F.col("y.sig")) & F.expr("x.label < y.label") & _close("x", "y", self.percent))
+        return both.select(F.struct("x.rep", "x.n").alias("x"), F.struct("y.rep", "y.n").alias("y"))
 
     def mixed(self, groups: DataFrame) -> DataFrame:
-        """(place, sig, k1, label, members) of the groups that hold several components."""
-        own = self.classes.select("k1", "rep")
+        """(place, sig, k1, rep, label, members) of the groups that hold several components."""
+        own = self.classes.select("k1", "rep", F.col("rep").alias("label"))
         if self.label is not None:
-            own = own.join(self.label.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("rep", F.coalesce("component", "rep"))
-        known = groups.where("place >= 0").join(own.select("k1", F.col("rep").alias("label")), "k1")
+            own = own.join(self.label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("k1", "rep", F.coalesce("component", "label").alias("label"))
+        known = groups.where("place >= 0").join(own, "k1")
         bounds = known.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        return cut(known.join(bounds, "sig").select("place", "sig", "k1", "label", "members"))
+        return cut(known.join(bounds, "sig").select("place", "sig", "k1", "rep", "label", "members"))
 
     def run(self) -> None:
         docs, left = self.docs, []
@@ -483,10 +493,9 @@ class _Join:
             docs = self.docs.join(few(reps), "doc").select("doc", "text")
         pairs = None
         for groups in left:
-            one, two = groups.select("sig", "k1", "label").alias("one"), groups.select("sig", "k1", "label").alias("two")
-            met = one.join(two, F.col("one.sig") == F.col("two.sig")).where("one.label < two.label").select(F.col("one.k1").alias("k"), F.col("two.k1").alias("l"))
+            met = self.met(groups)
             pairs = met if pairs is None else pairs.unionByName(met)
-        self.check(self.sides(pairs.distinct()))
+        self.check(pairs)
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:

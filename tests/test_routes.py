@@ -72,3 +72,11 @@ def test_installments_are_judged_by_sums_only_where_those_are_exact(spark):
     got = {r.invoice_number: list(r.reasons) for r in rules.payment_schedule(model(spark, *rows)).collect()}
     even = "amounts are not split evenly, larger first"
     assert got == {"000000": [], "000001": [even], "000002": ["installment numbers are not 1..n"], "000003": [even]} and good
+
+
+def test_triage_has_one_row_for_each_invoice_when_rules_are_shuffled_alike(spark):
+    """Each rule's verdicts come out of a join by invoice number; their union is not shuffled by it."""
+    tpch = from_tpch(spark, "/root/testdata/sf0.01", stored)
+    rows = rules.triage(tpch, {n: rules.RULES[n] for n in ("duplicate_lines", "rebilled_products")}).collect()
+    assert len(rows) == len({r.invoice_number for r in rows}) == tpch.invoices.count()
+    assert all([x.rule for x in r.results] == ["duplicate_lines", "rebilled_products"] for r in rows)

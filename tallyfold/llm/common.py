@@ -6,6 +6,8 @@ import ctypes
 import functools
 import gc
 import pickle
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -78,11 +80,29 @@ def text_runs(texts: pa.Array, most: int) -> Iterator[tuple[int, int, list[bytes
 Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def lean(run: Run) -> Run:
-    """`run`, after which a worker gives freed memory back: workers are kept for later tasks, beside other ones."""
+def kept(kind: str) -> dict:
+    """What a worker keeps for later tasks of this kind, whatever task asks."""
+    return sys.modules.setdefault("_tallyfold_kept", types.ModuleType("_tallyfold_kept")).__dict__.setdefault(kind, {})
+
+
+def _let_go(kind: str | None) -> None:
+    """Ends what is kept for tasks of other kinds."""
+    others = [v for k, v in getattr(sys.modules.get("_tallyfold_kept"), "__dict__", {}).items() if k != kind and isinstance(v, dict) and v and not k.startswith("__")]
+    for other in others:
+        other.clear()
+    if others:
+        give_back()
+
+
+def lean(run: Run, kind: str | None = None) -> Run:
+    """`run`, after which a worker gives freed memory back: workers are kept for later tasks, beside other ones.
+
+    Of what is kept() between tasks only that of `kind` outlives the start of this one.
+    """
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go(kind)
         yield from run(batches)
         del batches
         give_back()

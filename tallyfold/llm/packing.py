@@ -8,7 +8,7 @@ number of windows rises and the block is dealt out anew. Blocks are bounded, so
 
 A task tokenizes its documents, packs them and emits the pieces: there is no shuffle, and a lost task is run again on
 its own. Words between ASCII white space are tokenized once per worker and block (the tokenizer's pieces never cross white
-space), at most `CACHE_WORDS` are remembered.
+space), at most twice `CACHE_WORDS` are remembered, and only while workers pack.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed as often as they occur; very long
 texts are cut at window bounds only; an empty table gives no pieces; only the named columns are read.
@@ -17,8 +17,6 @@ texts are cut at window bounds only; an empty table gives no pieces; only the na
 from __future__ import annotations
 
 import heapq
-import sys
-import types
 import unicodedata
 import zlib
 from array import array
@@ -32,14 +30,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean
+from .common import kept, lean
 
 CAPACITY = 4096
 END_ID = 2
 BLOCK_TOKENS = 1_250_000
 BLOCK_PIECES = 4_000
-CACHE_WORDS = 300_000
+#: Words that a worker remembers, in each of two generations.
+CACHE_WORDS = 150_000
 CHUNK_BYTES = 4_000_000
+#: Words whose ids are laid out at once.
+RUN_WORDS = 1 << 16
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -113,60 +114,83 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        #: Ids as bytes of unsigned 32-bit numbers: a third of the memory of arrays.
-        self.words: dict[str, bytes] = {"": b""}
-        self.units: dict[str, bytes] = {}
+        #: Ids as bytes of unsigned 32-bit numbers, of words met since the last change of generation and in the one before.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         #: Bytes as the characters that a byte-level model writes for them.
         self.bytes = {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
-    def _unit(self, unit: str) -> bytes:
-        if (ids := self.units.get(unit)) is None:
-            spelt = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.bytes)
-            if len(self.units) > CACHE_WORDS:
-                self.units.clear()
-            ids = self.units[unit] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+    def _tokenized(self, unit: str) -> bytes:
+        spelt = unit if unit.isascii() else unit.encode().decode("latin-1").translate(self.bytes)
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def _known(self, word: str) -> bytes | None:
+        if (ids := self.words.get(word)) is None and (ids := self.older.get(word)) is not None:
+            self._keep(word, ids)
+        return ids
+
+    def _keep(self, word: str, ids: bytes) -> bytes:
+        if len(self.words) >= CACHE_WORDS:
+            self.words, self.older = {}, self.words
+        self.words[word] = ids
         return ids
 
+    def _unit(self, low: str) -> bytes:
+        """Ids of lower-case letters, which are a word of their own unless they change once more when lower-cased."""
+        if low.lower() != low:
+            return self._tokenized(low)
+        return ids if (ids := self._known(low)) is not None else self._keep(low, self._tokenized(low))
+
+    def _mark(self, mark: str) -> bytes:
+        if mark not in self.marks:
+            self.marks[mark] = self._tokenized(mark)
+        return self.marks[mark]
+
     def word(self, word: str) -> bytes:
-        if (ids := self.words.get(word)) is None:
+        if not word:
+            return b""
+        if (ids := self._known(word)) is None:
             body, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
             if body.isalpha() and "Σ" not in body and unicodedata.is_normalized("NFC", body) and (low := body.lower()).isalpha() and (low.isascii() or unicodedata.is_normalized("NFC", low)):
-                found = self._unit(low) + (self._unit(mark) if mark else b"")
+                ids = self._unit(low) + (self._mark(mark) if mark else b"")
             else:
-                found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-            if len(self.words) > CACHE_WORDS:
-                self.words = {"": self.words[""]}
-            ids = self.words[word] = found
+                ids = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            self._keep(word, ids)
         return ids
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, bounds of each text); every text is followed by `end`."""
         split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
         coded = split.flatten().dictionary_encode()
-        known = [self.word(w) for w in coded.dictionary.to_pylist()]
+        known = [self.words.get(w) or self.word(w) for w in coded.dictionary.to_pylist()]
         size = np.array([len(x) for x in known], np.int64) // 4
         pool = np.frombuffer(b"".join([*known, array("I", [end]).tobytes()]), np.uint32)
         start = np.cumsum(size) - size
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         bounds = split.offsets.to_numpy()
         bounds = bounds - bounds[0]
         # one more word, the end id, behind each text
         size, start = np.append(size, 1), np.append(start, len(pool) - 1)
-        code = np.insert(code, bounds[1:], len(size) - 1)
-        n = size[code]
-        after = np.cumsum(n)
-        ids = pool[np.repeat(start[code] - (after - n), n) + np.arange(int(after[-1]) if len(after) else 0)]
+        code = np.insert(coded.indices.to_numpy(zero_copy_only=False), bounds[1:], len(size) - 1)
+        del split, coded, known
+        after = np.cumsum(size[code])
+        ids = np.empty(int(after[-1]) if len(after) else 0, np.uint32)
+        for at in range(0, len(code), RUN_WORDS):
+            words, ends = code[at : at + RUN_WORDS], after[at : at + RUN_WORDS]
+            n = size[words]
+            first, last = int(ends[0] - n[0]), int(ends[-1])
+            ids[first:last] = pool[np.repeat(start[words] - (ends - n), n) + np.arange(first, last)]
         return ids, np.concatenate([[0], after[bounds[1:] + np.arange(len(texts))]])
 
 
 def _encoder(path: str) -> WordEncoder:
-    """One encoder per worker process, whatever task asks."""
-    kept = sys.modules.setdefault("_tallyfold_encoders", types.ModuleType("_tallyfold_encoders")).__dict__
-    if path not in kept:
-        kept[path] = WordEncoder(path)
-    return kept[path]
+    """One encoder per worker process, as long as it packs."""
+    encoders = kept("encoders")
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]
 
 
 PIECE = [
@@ -242,7 +266,7 @@ def _packer(tokenizer: str, capacity: int, end: int, with_ids: bool) -> Callable
         if block:
             yield emit()
 
-    return lean(run)
+    return lean(run, "encoders")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,8 @@ COUNTERS, HEAVY = 8_192, 4_096
 #: Classes of a group that may be paired before the last division of the universe.
 CROWD = 64
 LEVELS = 3
+#: Signatures of a class that travel with each of them, 4 bytes each, by which its pairs are made once; a class with more goes without.
+SIGNATURES = 512
 #: Parts that share a star's centre in verification.
 PARTS = 32
 
@@ -455,11 +458,17 @@ class _Join:
         """(x, y): classes of different components that share a signature and may link.
 
         Sizes and sketches travel with the signatures and are part of the join, so that no pair is made to be dropped.
+        So do all 32-bit keys of a class, up to SIGNATURES of them: a pair is made by the least key it shares only. Keys
+        that several signatures have are shared ones, too, so no pair is lost.
         """
         narrow = [c for c in self.classes.columns if c not in ("k1", "k2", "copies")]
-        rows = cut(groups.select("sig", "label", "rep").join(self.classes.where("rep is not null").select(*narrow), "rep"))
+        own = cut(groups.select(F.hash("sig").alias("key"), "label", "rep").distinct())
+        keys = own.groupBy("rep").agg(F.count("*").alias("c"), F.collect_list("key").alias("keys"))
+        keys = keys.select("rep", F.when(F.col("c") <= SIGNATURES, F.col("keys")).alias("keys"))
+        rows = cut(own.join(keys, "rep").join(self.classes.where("rep is not null").select(*narrow), "rep"))
         x, y = rows.alias("x"), rows.alias("y")
-        both = x.join(y, (F.col("x.sig") == F.col("y.sig")) & F.expr("x.label < y.label") & _close("x", "y", self.percent))
+        least = F.coalesce(F.array_min(F.array_intersect("x.keys", "y.keys")), "x.key")
+        both = x.join(y, (F.col("x.key") == F.col("y.key")) & F.expr("x.label < y.label") & _close("x", "y", self.percent) & (least == F.col("x.key")))
         return both.select(F.struct("x.rep", "x.n").alias("x"), F.struct("y.rep", "y.n").alias("y"))
 
     def mixed(self, groups: DataFrame) -> DataFrame:
@@ -491,11 +500,8 @@ class _Join:
             if reps.isEmpty():
                 break
             docs = self.docs.join(few(reps), "doc").select("doc", "text")
-        pairs = None
-        for groups in left:
-            met = self.met(groups)
-            pairs = met if pairs is None else pairs.unionByName(met)
-        self.check(pairs)
+        # the components of all divisions are known by now
+        self.check(self.met(self.mixed(reduce(DataFrame.unionByName, left).select("place", "sig", "k1", "members"))))
 
 
 def link(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:

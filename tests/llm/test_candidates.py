@@ -39,3 +39,26 @@ def test_signatures_meet_only_in_close_classes(spark):
     assert join.links is None or join.links.count() == 0
     assert sum(m.count() for m in made) < 300 * 299 // 2 // 20
     join.kept.drop()
+
+
+def test_a_pair_that_shares_many_signatures_is_made_once(spark):
+    """Texts that differ from each other in somewhat more than they may share most of their segments."""
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(112)]
+    texts = []
+    for _ in range(60):
+        own = list(common)
+        for at in rng.sample(range(len(own)), 1):
+            own[at] = f"w{rng.randrange(10**9)}"
+        texts.append(" ".join(own))
+    join = ngram_join._Join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", 3, 90)
+    made = []
+    join.met = lambda groups, met=join.met: made.append(met(groups)) or made[-1]
+    join.run()
+    rows = [(r.x.rep, r.y.rep) for m in made for r in m.collect()]
+    assert len(rows) > 50 and len(rows) == len(set(rows))
+    sets = [ngram_join.shingles_of(t.encode()) for t in texts]
+    want = {frozenset((i, j)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and 100 * len(a & b) >= 90 * len(a | b)}
+    found = {frozenset((r.a, r.b)) for r in join.links.collect()} if join.links is not None else set()
+    assert found <= want
+    join.kept.drop()

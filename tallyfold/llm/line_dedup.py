@@ -80,7 +80,7 @@ def _bucket(word: Column, buckets: int) -> Column:
 def codes_of(words: Column, levels: str, buckets: int) -> Column:
     """Words as numbers that sort by rarity: the class in the highest byte, 56 bits of a hash below."""
     known = F.split(F.lit(levels), ",").cast("array<tinyint>")  # a constant, folded once
-    code = lambda w: F.shiftleft(F.coalesce(F.get(known, _bucket(w, buckets)).cast("long"), F.lit(0).cast("long")), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
+    code = lambda w: F.shiftleft(F.get(known, _bucket(w, buckets)).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64(w), 8))
     return F.array_remove(F.transform(words, code), code(F.lit("")))
 
 
@@ -207,15 +207,18 @@ def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", buck
 
 
 def _removed(docs: DataFrame, repeated: bool, buckets: int) -> DataFrame:
-    own = docs.where("doc is not null and text is not null").select("doc", "base", plain(F.col("text").cast("string")).alias("text"))
+    # a text that can't be null is not made plain twice, once for a filter that Spark adds
+    own = docs.where("doc is not null and text is not null").select("doc", "base", F.coalesce(plain(F.col("text").cast("string")), F.lit("")).alias("text"))
     if repeated:
         own = own.dropDuplicates(["doc", "base"])
     levels = rarity(own, "text", buckets)
-    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).select("doc", (F.col("base") + F.col("at")).alias("line"), codes_of(words_of(F.col("text")), levels, buckets).alias("h"))
+    # lines without words go by their text: a filter on the codes would work them out twice
+    split = own.select("doc", "base", F.posexplode(F.split("text", "\n", -1)).alias("at", "text")).where(F.trim("text") != "")
+    split = split.select("doc", (F.col("base") + F.col("at")).alias("line"), codes_of(words_of(F.col("text")), levels, buckets).alias("h"))
     middle = F.greatest(F.floor((F.size("h") - ENDS) / 2).cast("int") + 1, F.lit(1))
     ends = {"head": F.lit(1), "middle": middle, "tail": F.greatest(F.size("h") - (ENDS - 1), F.lit(1))}
     ends = [F.xxhash64(F.lit(i), F.slice("h", at, F.lit(ENDS))).alias(k) for i, (k, at) in enumerate(ends.items())]
-    coded = split.where(F.size("h") > 0).select("doc", "line", *ends, F.sort_array(F.array_distinct("h")).alias("codes"))
+    coded = split.select("doc", "line", *ends, F.sort_array(F.array_distinct("h")).alias("codes"))
     n = F.size("codes")
     prefix = F.when(n >= 4, F.slice("codes", F.lit(1), n - F.ceil(n * NUM / DEN - 1e-9).cast("int") + 1)).otherwise(F.slice("codes", 1, 0))
     kept = Tables(docs.sparkSession)

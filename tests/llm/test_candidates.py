@@ -62,3 +62,12 @@ def test_a_pair_that_shares_many_signatures_is_made_once(spark):
     found = {frozenset((r.a, r.b)) for r in join.links.collect()} if join.links is not None else set()
     assert found <= want
     join.kept.drop()
+
+
+def test_words_of_a_line_are_coded_once(spark, monkeypatch):
+    plans, keep = {}, line_dedup.Tables.keep
+    monkeypatch.setattr(line_dedup.Tables, "keep", lambda self, df, kind: plans.setdefault(kind, df._jdf.queryExecution().optimizedPlan().toString()) and keep(self, df, kind))
+    docs = spark.createDataFrame([(1, "one two three four\n\n \t\nfive"), (2, " one two  three four \n\t\n"), (3, ""), (4, None)], "doc_id long, text string")
+    assert sorted(line_dedup.removed_lines(docs).collect()) == [(2, 0)]
+    assert plans["lines"].count("transform(split(lower(") == 1
+    assert plans["lines"].count("regexp_replace(") == 1
